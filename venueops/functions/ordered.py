@@ -5,8 +5,8 @@ A plain window sends every row of a key to one task. Here rows are range-partiti
 scanned on its own and picks up the total of the pieces before it. The order columns must
 end in something unique, else equal rows cannot be cut.
 
-The piece number comes from the partitioning, so the partitioned rows are checkpointed:
-a task that is run again after a lost executor then sees the same pieces.
+The piece number comes from the partitioning, so the partitioned rows are written to the
+checkpoint folder: a task that is run again after a lost executor then sees the same pieces.
 """
 
 from __future__ import annotations

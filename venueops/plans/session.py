@@ -1,8 +1,9 @@
-"""Session settings the operators count on, and reliable checkpoints."""
+"""Session settings the operators count on, and checkpoints that outlive executors."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,18 +24,25 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read back, its lineage cut."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table in the shared checkpoint folder and read back, its lineage cut.
 
+    The table outlives lost executors, is read by column, and has a size the planner knows.
+    """
+    path = f"{_checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+
+def _checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+    )
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="venueops-checkpoint-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
+    return folder
