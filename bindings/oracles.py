@@ -113,12 +113,12 @@ VIEWS = {
         UNION ALL SELECT DISTINCT 'customer ' || o_custkey, 'queue ' || o_orderpriority FROM orders
         UNION ALL SELECT DISTINCT 'queue ' || o_orderpriority, 'gate' FROM orders""",
     "walks": """
-        SELECT 'depot' AS at, ['depot'] AS path
+        SELECT 'depot' AS here, ['depot'] AS path
         UNION ALL
         SELECT r.b, list_append(w.path, r.b)
-        FROM walks w JOIN roads_v r ON r.a = w.at
+        FROM walks w JOIN roads_v r ON r.a = w.here
         WHERE NOT list_contains(w.path, r.b)""",
-    "routes": "SELECT path, array_to_string(path, ' -> ') AS route FROM walks WHERE at = 'gate'",
+    "routes": "SELECT path, array_to_string(path, ' -> ') AS route FROM walks WHERE here = 'gate'",
     "steps": """
         SELECT p.route, p.step, c.name AS city, p.city_id,
                greatest(0, c.rubies - p.step) AS ruby, greatest(0, c.emeralds - p.step) AS emerald,
