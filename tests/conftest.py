@@ -14,6 +14,7 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("venueops-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -167,26 +167,24 @@ def line_materials_text(
 ) -> DataFrame:
     """Each line with the list of materials it takes, in the order of the recipe's rows.
 
-    The list depends on item and quantity alone, so it is put together once per such pair and not
-    once per line. A line without a recipe stays, with NULL.
+    A dish's recipe is gathered once, as an array (it has a row per ingredient at most); the lines
+    then only look it up and multiply. A line without a recipe stays, with NULL.
     """
     needs = (
         recipes.withColumnRenamed("quantity", "need")
         .join(keyed(ingredients, "ingredient_id", ingredient="name"), "ingredient_id", "left")
         .join(keyed(units, "unit_id", unit="name"), "unit_id", "left")
+        .groupBy("menu_item_id")
+        .agg(F.sort_array(F.collect_list(F.struct("id", "ingredient", "need", "unit"))).alias("recipe"))
     )
-    amount = (F.col("need") * F.col("quantity")).cast("decimal(10,3)").cast("string")
-    part = F.concat(F.col("ingredient"), F.lit(": "), amount, F.lit(" "), F.col("unit"))
-    texts = (
-        lines.select("menu_item_id", "quantity")
-        .distinct()
-        .join(needs, "menu_item_id")
-        .select("menu_item_id", "quantity", F.col("id").alias("recipe_id"), part.alias("part"))
-        .groupBy("menu_item_id", "quantity")
-        .agg(F.expr("listagg(part, ', ') within group (order by recipe_id)").alias("ingredients_used"))
-    )
+
+    def part(row):
+        amount = (row["need"] * F.col("quantity")).cast("decimal(10,3)").cast("string")
+        return F.concat(row["ingredient"], F.lit(": "), amount, F.lit(" "), row["unit"])
+
+    parts = F.array_compact(F.transform("recipe", part))
     return (
-        lines.join(texts, ["menu_item_id", "quantity"], "left")
+        lines.join(needs, "menu_item_id", "left")
         .join(keyed(items, "menu_item_id", dish="name"), "menu_item_id")
         .select(
             "order_id",
@@ -195,7 +193,7 @@ def line_materials_text(
             "quantity",
             F.col("item_cost").alias("price"),
             (F.col("quantity") * F.col("item_cost")).cast("decimal(18,2)").alias("total_price"),
-            "ingredients_used",
+            F.when(F.size(parts) > 0, F.array_join(parts, ", ")).alias("ingredients_used"),
         )
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueops.functions.columns import Moment, in_period, keyed
+from venueops.plans.session import checkpointed
 
 # Names in the lookup tables and labels in the results.
 INCOME = "Доход"
@@ -118,25 +119,20 @@ def copurchase_pairs(
     Pairs are formed only inside orders of at most ``order_limit`` distinct items. Larger orders,
     if there are any, are treated apart and exactly; see :func:`_pairs_of_large_orders`.
     """
-    bought = lines.select("order_id", "menu_item_id").distinct()
-    if min_support > 1:
-        # a pair cannot be more frequent than either of its items
-        frequent = (
-            bought.groupBy("menu_item_id").count().filter(F.col("count") >= min_support).select("menu_item_id")
-        )
-        bought = bought.join(frequent, "menu_item_id", "left_semi")
-
-    line_counts = lines.groupBy("order_id").count().filter(F.col("count") > order_limit)
-    if line_counts.isEmpty():
-        pairs = _pairs_within(bought, ["order_id"])
+    # read several times below, and narrow: two columns, repeats gone
+    bought = checkpointed(lines.select("order_id", "menu_item_id").distinct())
+    large = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("distinct_items")).filter(
+        F.col("distinct_items") > order_limit
+    )
+    if large.isEmpty():
+        pairs = _pairs_within(bought)
     else:
-        large = bought.groupBy("order_id").count().filter(F.col("count") > order_limit)
-        small_pairs = _pairs_within(bought.join(large, "order_id", "left_anti"), ["order_id"])
-        large_orders = bought.join(large.withColumnRenamed("count", "distinct_items"), "order_id")
+        small_pairs = _pairs_within(bought.join(large, "order_id", "left_anti"))
+        large_pairs = _pairs_of_large_orders(
+            bought.join(large, "order_id"), small_pairs, min_support, order_limit
+        )
         pairs = (
-            small_pairs.unionByName(
-                _pairs_of_large_orders(large_orders, small_pairs, min_support, order_limit)
-            )
+            small_pairs.unionByName(large_pairs)
             .groupBy("item_1", "item_2")
             .agg(F.sum("orders").alias("orders"))
         )
@@ -150,11 +146,11 @@ def copurchase_pairs(
     )
 
 
-def _pairs_within(bought: DataFrame, group: list[str]) -> DataFrame:
-    left = bought.select(*group, F.col("menu_item_id").alias("item_1"))
-    right = bought.select(*group, F.col("menu_item_id").alias("item_2"))
+def _pairs_within(bought: DataFrame) -> DataFrame:
+    left = bought.withColumnRenamed("menu_item_id", "item_1")
+    right = bought.withColumnRenamed("menu_item_id", "item_2")
     return (
-        left.join(right, group)
+        left.join(right, "order_id")
         .filter(F.col("item_1") < F.col("item_2"))
         .groupBy("item_1", "item_2")
         .agg(F.count(F.lit(1)).alias("orders"))
