@@ -548,7 +548,7 @@ def oracle_sql() -> dict[str, str]:
             JOIN dine_in_status s ON s.id = d.status_id""",
         ),
         "payment_report": _with(
-            "closed order_status payment_type",
+            "orders_v order_status payment_type",
             f"""
             , shipped AS (SELECT l_orderkey AS id, MAX(l_shipdate) AS closed_at FROM lineitem GROUP BY 1)
             SELECT o.id AS order_id, s.name AS order_status, strftime(o.created_at, {_STAMP}) AS order_created,
@@ -556,9 +556,12 @@ def oracle_sql() -> dict[str, str]:
                    {_minutes('o.created_at', 'h.closed_at')} AS total_minutes,
                    CAST(o.total_cost AS DOUBLE) AS total_cost, CAST(o.to_pay AS DOUBLE) AS paid_amount,
                    p.name AS payment_type, CAST(o.to_pay AS DOUBLE) AS financial_amount,
-                   'Доход' AS financial_type, 'Продажи' AS financial_category, o.id AS financial_transaction_id
-            FROM closed o JOIN order_status s ON s.id = o.status_id
-            JOIN payment_type p ON p.id = o.payment_type_id LEFT JOIN shipped h ON h.id = o.id""",
+                   CASE o.status_id WHEN 'F' THEN 'Доход' ELSE 'Расход' END AS financial_type,
+                   CASE o.status_id WHEN 'F' THEN 'Продажи' ELSE 'Прочее' END AS financial_category,
+                   o.id AS financial_transaction_id
+            FROM orders_v o JOIN order_status s ON s.id = o.status_id
+            JOIN payment_type p ON p.id = o.payment_type_id LEFT JOIN shipped h ON h.id = o.id
+            WHERE o.status_id <> 'P'""",
         ),
         "loyalty_report": _with(
             "closed customers_v discount_tier",

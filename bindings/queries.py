@@ -242,7 +242,7 @@ def waiter_report(v: Venue) -> DataFrame:
 
 def payment_report(v: Venue) -> DataFrame:
     return receipts.payment_report(
-        v.closed_orders, v.order_statuses, v.payment_types, v.sales, v.sales_types, v.sales_categories
+        v.closed_orders, v.order_statuses, v.payment_types, v.ledger, v.money_types, v.money_categories
     )
 
 

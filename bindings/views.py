@@ -74,6 +74,10 @@ class Venue:
     def sales_categories(self):
         return self.lookup("(1,'Продажи'),(2,'Прочее')")
 
+    @cached_property
+    def money_categories(self):
+        return self.lookup("('F','Продажи'),('O','Прочее')")
+
     @cached_property
     def loyalty_types(self):
         return self.lookup("(1,'Начисление'),(2,'Списание')")
@@ -129,16 +133,16 @@ class Venue:
         last = self.read("lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
             F.max("l_shipdate").alias("closed_at")
         )
-        paid = F.when(F.col("status_id") == "F", F.col("id")).alias("financial_transaction_id")
+        paid = F.when(F.col("status_id") != "P", F.col("id")).alias("financial_transaction_id")
         return self.orders.join(last, "id", "left").select("*", paid)
 
     @cached_property
-    def sales(self):
-        return self.orders.filter("status_id = 'F'").select(
+    def ledger(self):
+        return self.orders.filter("status_id <> 'P'").select(
             "id",
-            F.lit(1).alias("transaction_type_id"),
+            F.col("status_id").alias("transaction_type_id"),
             F.col("to_pay").alias("amount"),
-            F.lit(1).alias("category_id"),
+            F.col("status_id").alias("category_id"),
         )
 
     @cached_property

@@ -23,7 +23,8 @@ def snapshot_prices(requested: DataFrame, items: DataFrame) -> DataFrame:
 
 def rejected_lines(requested: DataFrame, items: DataFrame) -> DataFrame:
     """The requested lines :func:`snapshot_prices` drops."""
-    return requested.join(keyed(items, "menu_item_id"), "menu_item_id", "left_anti")
+    unknown = requested.join(keyed(items, "menu_item_id"), "menu_item_id", "left_anti")
+    return unknown.select(*requested.columns)
 
 
 def price_baskets(orders: DataFrame, lines: DataFrame, customers: DataFrame, tiers: DataFrame) -> DataFrame:

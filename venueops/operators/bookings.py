@@ -79,36 +79,33 @@ def reservation_conflicts(requests: DataFrame, existing: DataFrame) -> DataFrame
     reservations is ever formed, however full a table is. ``request_id`` is unique in the requests,
     ``id`` in the existing reservations.
     """
-    empty_request = F.col("start_at") == F.col("end_at")
-    empty_span = F.col("start_at") == F.col("end_at")
-    # at one instant: ends come before request starts, request ends before starts; spans of no
-    # length are kept out of the way of requests of no length
-    ends = existing.select(
-        "table_id",
-        F.col("end_at").alias("at"),
-        F.when(empty_span, 2).otherwise(0).alias("turn"),
-        F.lit(1).alias("ended"),
-        "id",
-    )
-    starts = existing.select(
+    no_length = F.col("start_at") == F.col("end_at")
+
+    def moments(*pairs):
+        return F.explode(F.array(*[F.struct(F.col(c).alias("at"), t.alias("turn")) for c, t in pairs]))
+
+    # At one instant the turns are: ends, request starts, request ends, starts. Spans of no length
+    # end later than others, so as not to be subtracted from requests of no length at that instant.
+    held = existing.select(
         "table_id",
-        F.col("start_at").alias("at"),
-        F.lit(5).alias("turn"),
-        F.lit(1).alias("started"),
         "id",
+        moments(("end_at", F.when(no_length, 2).otherwise(0)), ("start_at", F.lit(5))).alias("m"),
     )
-    request_starts = requests.select(
+    asked = requests.select(
         "table_id",
-        F.col("start_at").alias("at"),
-        F.when(empty_request, 1).otherwise(3).alias("turn"),
         "request_id",
+        moments(("start_at", F.when(no_length, 1).otherwise(3)), ("end_at", F.lit(4))).alias("m"),
     )
-    request_ends = requests.select(
-        "table_id", F.col("end_at").alias("at"), F.lit(4).alias("turn"), "request_id"
+    timeline = (
+        held.unionByName(asked, allowMissingColumns=True)
+        .select("table_id", "id", "request_id", "m.at", "m.turn")
+        .withColumns(
+            {
+                "started": F.when(F.col("turn") == 5, 1),
+                "ended": F.when(F.col("turn").isin(0, 2), 1),
+            }
+        )
     )
-    timeline = ends
-    for more in (starts, request_starts, request_ends):
-        timeline = timeline.unionByName(more, allowMissingColumns=True)
     # rows of one turn at one instant count alike; the ids only make the order total
     timeline = timeline.withColumn("_tie", F.xxhash64("request_id", "id"))
     counted = running(
@@ -158,7 +155,7 @@ def _first_come(requests: DataFrame) -> DataFrame:
     accepted = []
     waiting = requests
     while True:
-        clustered = _clusters(waiting)
+        clustered = checkpointed(_clusters(waiting))
         sizes = clustered.groupBy("table_id", "cluster").count()
         if sizes.filter(F.col("count") > CLUSTER_LIMIT).isEmpty():
             accepted.append(_in_turn(clustered))
