@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +27,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     The table outlives lost executors, is read by column, and has a size the planner knows.
     """
-    path = f"{_checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    return written(df)[0]
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """As :func:`checkpointed`, with the table's path for :func:`removed`."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables of :func:`written` that no later frame reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _checkpoint_folder(spark: SparkSession) -> str:
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` or ``setCheckpointDir`` names it."""
     context = spark.sparkContext
     folder = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -41,8 +53,5 @@ def _checkpoint_folder(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="venueops-checkpoint-")
-        context.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder
