@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from venueops.llm import kernel as K
 from venueops.llm.common import KEY, checkpointed, components, removed, row_key, written
 
+TILE = 256  # sets of a block; groups of a quarter of it are compared pair by pair
 CHANCE = 2e-4  # how likely two sets share a segment of one shingle, for the cost model
 
 
@@ -317,23 +318,115 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     placed = everyone.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sig", "sid", F.coalesce("label", "sid").alias("label")
     )
-    mixed = placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    open_groups = placed.join(mixed.select("sig"), "sig", "left_semi")
+    placed, path = written(placed)
+    mixed = (
+        placed.groupBy("sig")
+        .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("sids"), F.min("sid").alias("first"))
+        .filter("x <> y")
+    )
+    mixed = checkpointed(mixed.select("sig", "sids", "first"))
+    few = placed.join(mixed.filter(f"sids <= {TILE // 4}").select("sig"), "sig", "left_semi")
     across = (
-        open_groups.alias("p")
-        .join(open_groups.alias("q"), F.expr("p.sig = q.sig and p.label < q.label"))
+        few.alias("p")
+        .join(few.alias("q"), F.expr("p.sig = q.sig and p.label < q.label"))
         .select(F.least("p.sid", "q.sid").alias("a"), F.greatest("p.sid", "q.sid").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
-    across, path = written(across)
-    if not across.isEmpty():
-        more = _verified(across, texts, n_words, threshold)
+    many = placed.join(mixed.filter(f"sids > {TILE // 4}"), "sig").select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    more = checkpointed(
+        _verified(across, texts, n_words, threshold).unionByName(
+            _verified_in_tiles(checkpointed(many.distinct()), texts, n_words, threshold)
+        )
+    )
+    if not more.isEmpty():
         labels = checkpointed(components(links.unionByName(more)))
     removed(spark, path)
     return rows, labels.select(F.col("node").alias("sid"), "label")
 
 
+def _verified_in_tiles(many: DataFrame, texts: DataFrame, n_words: int, threshold: Threshold) -> DataFrame:
+    """Links enough to connect what is connected among the sets of large signature groups, given as (a, b) with one
+    a for each group.
+
+    Groups that overlap are one cluster; a cluster is cut into blocks of about ``TILE`` sets, and each pair of
+    blocks is one task, which compares its sets by counting products and returns a spanning forest, no pairs.
+    """
+    num, den = threshold.num, threshold.den
+    inside = components(many)  # a group's first set is in it, and a group has more than one
+    sizes = inside.groupBy("label").agg(F.count(F.lit(1)).alias("sets"))
+    blocks = F.ceil(F.col("sets") / TILE).cast("int")
+    dealt = (
+        inside.join(checkpointed(sizes), "label")
+        .withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "label",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            (F.col("own") <= F.col("other")).alias("left"),
+            (F.col("own") >= F.col("other")).alias("right"),
+            F.col("node").alias("sid"),
+        )
+        .join(texts, "sid")
+    )
+
+    def each(tile: pa.Table) -> pa.Table:
+        tile = tile.combine_chunks()
+        values, rows = [], []
+        for lo, _, offsets, data in _unpacked(tile.column("z").to_pylist()):
+            v, r = K.distinct_grams(data, offsets, n_words)
+            values.append(v)
+            rows.append(r + lo)
+        values, rows = np.concatenate(values), np.concatenate(rows)
+        n = tile.num_rows
+        sizes = np.bincount(rows, minlength=n)
+        _, column, spread = np.unique(values, return_inverse=True, return_counts=True)
+        shared = spread[column] > 1
+        column, rows = column[shared], rows[shared]
+        order = np.argsort(column, kind="stable")
+        column, rows = column[order], rows[order]
+        both = np.zeros((n, n), dtype=np.float32)
+        edges = np.r_[0, np.cumsum(spread[spread > 1])]
+        step = 2048
+        for k in range(0, len(edges) - 1, step):
+            lo, hi = edges[k], edges[min(k + step, len(edges) - 1)]
+            has = np.zeros((n, min(step, len(edges) - 1 - k)), dtype=np.float32)
+            has[rows[lo:hi], np.searchsorted(edges, np.arange(lo, hi), "right") - 1 - k] = 1
+            both += has @ has.T
+        count = both.astype(np.int64)
+        good = den * count >= num * (sizes[:, None] + sizes[None, :] - count)
+        left = tile.column("left").to_numpy(zero_copy_only=False)
+        right = tile.column("right").to_numpy(zero_copy_only=False)
+        good &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
+        a, b = spanning(good)
+        sid = tile.column("sid").combine_chunks()
+        return pa.table({"a": sid.take(pa.array(a)), "b": sid.take(pa.array(b))})
+
+    return dealt.groupBy("label", "i", "j").applyInArrow(each, "a binary, b binary")
+
+
+def spanning(good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of a symmetric matrix of links."""
+    n = len(good)
+    waiting = np.ones(n, dtype=bool)
+    a, b = [], []
+    for root in range(n):
+        if not waiting[root]:
+            continue
+        waiting[root] = False
+        front = [root]
+        while front:
+            x = front.pop()
+            fresh = np.flatnonzero(good[x] & waiting)
+            waiting[fresh] = False
+            a.extend([x] * len(fresh))
+            b.extend(fresh.tolist())
+            front.extend(fresh.tolist())
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
 def component_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(sid, component_id): the smallest doc_id of the component, for the classes of more than one row or a link."""
     by_class = rows.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
