@@ -6,17 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from venueops.llm import repeats, setjoin
+from venueops.llm import packing, repeats, setjoin, tiling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), length=1024)
+
+
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_report(_table(spark, sf_dir, "documents"), length=400)
 
 
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_tokens", "covered", "coverage", "tiles")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = setjoin.jaccard_components(_table(spark, sf_dir, "documents"), n_words=3, num=90, den=100)
     return found.select("doc_id", "n_shingles", "component_id")
@@ -24,7 +38,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_vector_packing": op3_vector_packing,
+        "op4_compression_toxicity": op4_compression_toxicity,
         "op6_suffix_repeats": op6_suffix_repeats,
+        "op9_string_tiling": op9_string_tiling,
         "op10_jaccard_join": op10_jaccard_join,
     }
 
