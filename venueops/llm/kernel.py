@@ -147,7 +147,7 @@ def grams(hashes: np.ndarray, rows: np.ndarray, n: int, short: bool) -> tuple[np
         return hashes, np.empty(0, np.int64)
     factor = constants(n, 101)
     sums = np.zeros(total, dtype=U)
-    for k in range(n):
+    for k in range(min(n, total)):
         sums[: total - k] += mixed(hashes[k:] * factor[k]) * factor[k]
     whole = np.zeros(total, dtype=bool)
     if total >= n:

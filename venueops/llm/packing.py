@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from venueops.llm.tokens import shipped
 
@@ -176,5 +177,5 @@ def pack_examples(examples: DataFrame, limits: tuple[int, int, int], tokens: str
         if schema is not None:
             yield from arrow(packer.end(), schema)
 
-    out = examples.schema.add("sequence_id", "long").add("offset", "long")
+    out = T.StructType([*examples.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return examples.mapInArrow(each, out)
