@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from venueops.llm import packing, repeats, setjoin, tiling, toxicity
-from venueops.plans.session import checkpointed
+from venueops.llm.common import checkpointed
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

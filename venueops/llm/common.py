@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venueops.plans.session import checkpointed, removed, written
+from venueops.plans import session
+from venueops.plans.session import removed
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 KEY = "__row_key"
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """As the session's ``written``; the shuffle files of the write go as soon as the table is complete, as nothing
+    reads them again. The caller's setting is put back."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return session.written(df)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    return written(df)[0]
+
+
 def row_key(*columns: str) -> Column:
     """128 bits of the columns' values: the same for the same row wherever and whenever it is read, unlike
     generated ids, which change with the splits of the input when executors come or go."""

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 U = np.uint64
 
@@ -57,7 +57,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             out.append(np.multiply.accumulate(full))
         return tuple(out)
 
-    size = 1 << max(22, int(n).bit_length())
+    size = 1 << max(21, int(n).bit_length())
     up, down = per_process(f"powers{size}", lambda: make(size))
     return up[:n], down[:n]
 

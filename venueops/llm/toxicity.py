@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from venueops.llm import kernel as K
 from venueops.llm.common import KEY, row_key, without
 
-TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_BYTES = 2500, 6000, 16_000  # most texts per class, and bytes of a text
+TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_BYTES = 2000, 5000, 16_000  # most texts per class, and bytes of a text
 THRESHOLDS = (3, 4, 5, 6)
 LEVEL = 3
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -70,7 +70,7 @@ class Model:
                 window = carrier + b" " + lowered[starts[at] : ends[at]] + b" "
                 gain = memo[name] = len(plain.compress(window)) - len(marked.compress(window))
             gains[k] = gain
-        if len(memo) > 1_000_000:  # values can be computed again
+        if len(memo) > 400_000:  # values can be computed again
             memo.clear()
         gain = gains[inverse]
         order = np.lexsort((-gain, rows))
@@ -114,7 +114,7 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 def _beginnings(text: bytes) -> set[bytes]:
     out = set()
     for word in set(WORD.findall(text)):
-        out.update(word[:k] for k in range(4, min(len(word), 12) + 1))
+        out.update(word[:k] for k in range(4, min(len(word), 9) + 1))
         out.add(word + b" ")
     return out
 
@@ -126,14 +126,16 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
         return Model(prior)
     learn = [[x for i, x in enumerate(side) if i % 3] for side in (ordinary, toxic)]
     spread = [Counter(), Counter()]
-    for side, texts in enumerate(learn):
-        for text in texts:
-            spread[side].update(_beginnings(text))
     n, m = len(learn[0]), len(learn[1])
+    for text in learn[1]:
+        spread[1].update(_beginnings(text))
+    spread[1] = Counter({part: count for part, count in spread[1].items() if count >= max(2, 0.01 * m)})
+    for text in learn[0]:
+        spread[0].update(part for part in _beginnings(text) if part in spread[1])
 
     def stands_out(part: bytes, count: int) -> bool:
         expected = m * (spread[0][part] + 0.5) / n
-        return count >= max(2, 0.01 * m) and count - expected >= 14 * expected**0.5
+        return count - expected >= 14 * expected**0.5
 
     telling = {part for part, count in spread[1].items() if stands_out(part, count)}
 
@@ -141,7 +143,7 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
         return b"".join(
             b" " + w + b" "
             for w in WORD.findall(text)
-            if w + b" " in telling or any(w[:k] in telling for k in range(4, 13))
+            if w + b" " in telling or any(w[:k] in telling for k in range(4, 10))
         )
 
     pieces = [x[i : i + 64] for x in learn[0] for i in range(0, len(x), 64)]
