@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 from venueops.plans import session
 from venueops.plans.session import removed
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Of the writes of intermediate tables: their shuffle files go once the table is complete, as nothing reads them
+# again, and whole texts go to Python in small batches.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "3000",
+}
 
 KEY = "__row_key"
 
 
 def written(df: DataFrame) -> tuple[DataFrame, str]:
-    """As the session's ``written``; the shuffle files of the write go as soon as the table is complete, as nothing
-    reads them again. The caller's setting is put back."""
+    """As the session's ``written``, under ``WRITING``; the caller's settings are put back."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
+    before = {key: conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        conf.set(key, value)
     try:
         return session.written(df)
     finally:
-        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ one-deletion neighbourhood), at least one must meet.
 
 Sets that are equal are one class from the start (``sid``, 128 bits). Inside a batch of rows only the first class
 with a signature goes to the shuffle, so that a hot group is reduced before it. Signature groups are not expanded
-into pairs: members are verified against a pivot, links are closed to components, and only groups that still hold
+into pairs: members are compared with a pivot (first by sizes and parities of their
+shingles, which bound the difference from below, then by whole texts), links are closed to components, and only groups that still hold
 several components are compared further, across components. No link that could join two components goes untested.
 """
 
@@ -90,26 +91,73 @@ def sets_of(data, offsets, n_words):
     return values, rows, sizes, ids
 
 
+def parities(values: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set, the parity of the number of its shingles in each of as many buckets as its size, rounded up to a
+    power of two. Sets that differ in d shingles differ in at most d parities."""
+    n = len(sizes)
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    base = np.r_[0, np.cumsum(bits)]
+    place = (K.mixed(values + K.U(0x2545F4914F6CDD1D)) & (bits[rows] - 1).astype(K.U)).astype(np.int64)
+    odd = (np.bincount(base[rows] + place, minlength=base[-1]) & 1).astype(np.uint8)
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    edges = base // 8
+    return [packed[edges[i] : edges[i + 1]] for i in range(n)]
+
+
+def _parity_distance(a: bytes, b: bytes) -> int:
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    m, n = 8 * len(a), 8 * len(b)
+    while m > n:  # the larger one folds onto the smaller one's buckets
+        m //= 2
+        x = (x >> m) ^ (x & ((1 << m) - 1))
+    while n > m:
+        n //= 2
+        y = (y >> n) ^ (y & ((1 << n) - 1))
+    return (x ^ y).bit_count()
+
+
+def _plausible(pairs: DataFrame, rows: DataFrame, threshold: Threshold) -> DataFrame:
+    """``pairs`` (a, b) without those that sizes or parities prove to be too far apart."""
+    num, den = threshold.num, threshold.den
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            most = (den - num) * (n + m) // (den + num)
+            left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            good = [
+                most[i] >= abs(n[i] - m[i]) and _parity_distance(left[i], right[i]) <= most[i] for i in range(len(n))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    one = rows.filter("n > 0").select("sid", "n", "parity").dropDuplicates(["sid"])
+    left = one.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = one.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
+    return joined.mapInArrow(each, "a binary, b binary")
+
+
 def _binary(ids: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes() for x in ids], type=pa.binary())
 
 
 def classes(docs: DataFrame, n_words: int) -> DataFrame:
-    """(row key, doc_id, sid, n) of every row; no words: n is 0."""
+    """(row key, doc_id, sid, n, parity) of every row; no words: n is 0."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, offsets, data in K.slices(batch.column(2)):
-                _, _, sizes, ids = sets_of(data, offsets, n_words)
+                values, owners, sizes, ids = sets_of(data, offsets, n_words)
                 part = batch.slice(lo, hi - lo)
+                parity = pa.array(parities(values, owners, sizes), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), _binary(ids), pa.array(sizes, pa.int64())],
-                    [KEY, "doc_id", "sid", "n"],
+                    [part.column(0), part.column(1), _binary(ids), pa.array(sizes, pa.int64()), parity],
+                    [KEY, "doc_id", "sid", "n", "parity"],
                 )
 
     rows = docs.select(row_key("doc_id", "text").alias(KEY), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(each, f"{KEY} binary, doc_id {kind}, sid binary, n long")
+    return rows.mapInArrow(each, f"{KEY} binary, doc_id {kind}, sid binary, n long, parity binary")
 
 
 def signatures_of(threshold, plan, values, rows, sizes):
@@ -303,11 +351,12 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     )
     members = checkpointed(met.unionByName(_signatures(docs, n_words, threshold, counts, local=True)))
 
-    pairs = checkpointed(
+    met_pairs = checkpointed(
         members.filter("sid <> pivot")
         .select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"))
         .distinct()
     )
+    pairs = checkpointed(_plausible(met_pairs, rows, threshold))
     needed = members.select("sid").unionByName(members.select(F.col("pivot").alias("sid"))).distinct()
     texts = checkpointed(_texts(docs, n_words).join(needed, "sid", "left_semi").dropDuplicates(["sid"]))
     links = checkpointed(_verified(pairs, texts, n_words, threshold))
@@ -331,8 +380,9 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
         .join(few.alias("q"), F.expr("p.sig = q.sig and p.label < q.label"))
         .select(F.least("p.sid", "q.sid").alias("a"), F.greatest("p.sid", "q.sid").alias("b"))
         .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+        .join(met_pairs, ["a", "b"], "left_anti")
     )
+    across = checkpointed(_plausible(across, rows, threshold))
     many = placed.join(mixed.filter(f"sids > {TILE // 4}"), "sig").select(F.col("first").alias("a"), F.col("sid").alias("b"))
     more = checkpointed(
         _verified(across, texts, n_words, threshold).unionByName(
