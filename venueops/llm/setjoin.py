@@ -7,8 +7,9 @@ one-deletion neighbourhood), at least one must meet.
 
 * Sizes fall into bands; a band fixes M and which segments get deletion neighbourhoods. A set is indexed under its
   own band, and under the next one if it can reach a set there.
-* A set needs credits for its own D only, so it gives its first segments up to that (segment subsets). Empty
-  segments carry no credit; a set that runs out of credits gives all its segments.
+* A set needs credits for its own D only, so it gives its first segments up to that (segment subsets). Segments of
+  no or one shingle, which many sets share by chance, carry no credit, in both sets alike if they meet; a set that
+  runs out of credits gives all its segments.
 * Allocation is by cost: per band the number of segments with deletion neighbourhoods is the one with the least
   rows plus expected chance meetings, from the number and sizes of the band's sets.
 
@@ -69,7 +70,7 @@ def allocation(threshold: Threshold, band: int, sets: int) -> tuple[int, int]:
         if 2 * deep > need + 1:
             continue
         exact = max(0, need - 2 * deep)
-        spare = math.ceil(exact / 16) if exact > 1 else 0
+        spare = math.ceil(exact / 5) if exact > 1 else 0
         segments = deep + exact + spare
         load = size / segments
         rows = deep * (1 + load) + exact
@@ -187,7 +188,7 @@ def signatures_of(threshold, plan, values, rows, sizes):
         filled = np.bincount(at, minlength=base[-1])
         owner = np.repeat(np.arange(len(docs)), segments)
         index = np.arange(base[-1]) - base[owner]
-        credit = np.where(index < deep[owner], 2, (filled > 0).astype(np.int64))
+        credit = np.where(index < deep[owner], 2, (filled > 1).astype(np.int64))
         run = np.cumsum(credit)
         before = run - credit - np.r_[0, run][base[owner]]
         total = run[base[1:] - 1] - np.r_[0, run][base[:-1]]
