@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venueops.functions.columns import keyed
 
@@ -55,10 +56,12 @@ def price_baskets(orders: DataFrame, lines: DataFrame, customers: DataFrame, tie
 def split_service_type(requests: DataFrame) -> DataFrame:
     """Adds ``route`` ('hall', 'delivery' or 'rejected') and, for a rejected request, the ``reason``.
 
-    A hall order needs table and waiter, a delivery needs address and courier.
+    A hall order needs table and waiter, a delivery needs address and courier. A number of zero counts as missing, as
+    does an empty text; the text "0" does not.
     """
     def given(column):
-        return F.coalesce(F.col(column).cast("string"), F.lit("")).isin("", "0") == F.lit(False)
+        text = isinstance(requests.schema[column].dataType, T.StringType)
+        return F.coalesce(F.col(column) != ("" if text else 0), F.lit(False))
 
     kind = F.col("order_type")
     hall = (kind == "dine_in") & given("table_id") & given("employee_id")

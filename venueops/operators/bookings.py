@@ -22,7 +22,7 @@ CLUSTER_LIMIT = 1000
 
 def with_span(reservations: DataFrame) -> DataFrame:
     """Adds ``start_at`` and ``end_at`` from date, time of day and duration."""
-    start = F.concat_ws(" ", F.col("reservation_date").cast("string"), F.col("reservation_time"))
+    start = F.concat(F.col("reservation_date").cast("string"), F.lit(" "), F.col("reservation_time"))
     return reservations.withColumn("start_at", start.cast("timestamp_ntz")).withColumn(
         "end_at", span_end(F.col("start_at"), F.col("duration_minutes"))
     )
@@ -74,11 +74,33 @@ def free_resources_at(
 def reservation_conflicts(requests: DataFrame, existing: DataFrame) -> DataFrame:
     """Adds ``conflicts``: how many existing reservations of the same table overlap the request.
 
-    Overlapping spans are those that start before the request ends, less those that end by the
-    time it starts. Both numbers are running counts along the table's time line, so no pair of
-    reservations is ever formed, however full a table is. ``request_id`` is unique in the requests,
-    ``id`` in the existing reservations.
+    Overlapping spans start before the request ends and end after it starts. Rows without a table, a start or
+    an end meet nothing. ``request_id`` is unique in the requests, ``id`` in the existing reservations. Spans that
+    end before they start are compared as they are written, by a join; all others on the time line.
     """
+    known = F.col("table_id").isNotNull() & F.col("start_at").isNotNull() & F.col("end_at").isNotNull()
+    backwards = F.col("end_at") < F.col("start_at")
+    held, asked = existing.filter(known), requests.filter(known)
+    parts = (
+        _on_the_time_line(asked.filter(~backwards), held.filter(~backwards))
+        .unionByName(_by_pairs(asked.filter(backwards), held))
+        .unionByName(_by_pairs(asked.filter(~backwards), held.filter(backwards)))
+    )
+    conflicts = parts.groupBy("request_id").agg(F.sum("conflicts").alias("conflicts"))
+    return requests.join(conflicts, "request_id", "left").select(
+        *requests.columns, F.coalesce("conflicts", F.lit(0)).cast("long").alias("conflicts")
+    )
+
+
+def _by_pairs(requests: DataFrame, existing: DataFrame) -> DataFrame:
+    spans = existing.select("table_id", F.col("start_at").alias("_from"), F.col("end_at").alias("_to"))
+    met = requests.join(spans, "table_id").filter((F.col("_from") < F.col("end_at")) & (F.col("_to") > F.col("start_at")))
+    return met.groupBy("request_id").agg(F.count(F.lit(1)).alias("conflicts"))
+
+
+def _on_the_time_line(requests: DataFrame, existing: DataFrame) -> DataFrame:
+    """(request_id, conflicts): spans that start before the request ends, less those that end by the time it starts.
+    Both numbers are running counts along the table's time line, so no pair of reservations is ever formed."""
     no_length = F.col("start_at") == F.col("end_at")
 
     def moments(*pairs):
@@ -114,7 +136,7 @@ def reservation_conflicts(requests: DataFrame, existing: DataFrame) -> DataFrame
         ["at", "turn", "_tie"],
         {"started_by": ("count", "started"), "ended_by": ("count", "ended")},
     )
-    conflicts = (
+    return (
         counted.filter(F.col("request_id").isNotNull())
         .groupBy("request_id")
         .agg(
@@ -123,7 +145,6 @@ def reservation_conflicts(requests: DataFrame, existing: DataFrame) -> DataFrame
             ).alias("conflicts")
         )
     )
-    return requests.join(conflicts, "request_id").select(*requests.columns, "conflicts")
 
 
 def admit_reservations(requests: DataFrame, existing: DataFrame, tables: DataFrame) -> DataFrame:

@@ -179,7 +179,7 @@ def line_materials_text(
     )
 
     def part(row):
-        amount = (row["need"] * F.col("quantity")).cast("decimal(10,3)").cast("string")
+        amount = (row["need"] * F.col("quantity")).cast("decimal(38,3)").cast("string")
         return F.concat(row["ingredient"], F.lit(": "), amount, F.lit(" "), row["unit"])
 
     parts = F.array_compact(F.transform("recipe", part))
