@@ -306,13 +306,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, n_words: int, threshold: Thres
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            packed = [batch.column(2).to_pylist(), batch.column(3).to_pylist()]
+            lengths = [zstandard.frame_content_size(a) + zstandard.frame_content_size(b) for a, b in zip(*packed, strict=True)]
+            done = np.r_[0, np.cumsum(lengths)]
+            start = 0
+            while start < batch.num_rows:
+                end = max(start + 1, int(np.searchsorted(done, done[start] + 4 * K.SLICE, "right")) - 1)
+                part = batch.slice(start, end - start)
                 n = part.num_rows
                 sides = []
-                for column in (2, 3):
+                for side in packed:
                     values, rows = [], []
-                    for lo, _, offsets, data in _unpacked(part.column(column).to_pylist()):
+                    for lo, _, offsets, data in _unpacked(side[start:end]):
                         v, r = K.distinct_grams(data, offsets, n_words)
                         values.append(v)
                         rows.append(r + lo)
@@ -323,6 +328,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n_words: int, threshold: Thres
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1)], ["a", "b"]
                 ).filter(pa.array(good))
+                start = end
 
     left = texts.select(F.col("sid").alias("a"), F.col("z").alias("za"))
     right = texts.select(F.col("sid").alias("b"), F.col("z").alias("zb"))
