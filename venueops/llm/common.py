@@ -9,10 +9,11 @@ from venueops.plans import session
 from venueops.plans.session import removed
 
 # Of the writes of intermediate tables: their shuffle files go once the table is complete, as nothing reads them
-# again, and whole texts go to Python in small batches.
+# again, and whole texts go to Python in small batches, by rows and, as some are very long, by bytes.
 WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "3000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 KEY = "__row_key"

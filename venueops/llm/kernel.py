@@ -1,7 +1,7 @@
 """Vectorised text work inside Arrow tasks: slices of whole texts, words, rolling hashes, shingles.
 
-A batch of texts is one run of UTF-8 bytes with offsets. Everything here works on such runs with numpy, a few
-megabytes at a time, and a text is never cut.
+A batch of texts is one run of UTF-8 bytes with offsets. Everything here works on such runs with numpy, about
+``SLICE`` bytes at a time, and a text is never cut.
 
 Hashes of substrings are differences of prefix sums: with P[i] the sum of T[byte]·B^t over t < i (mod 2^64),
 the substring [s, e) has (P[e] - P[s])·B^-s, the same wherever it stands.
@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 U = np.uint64
 
@@ -57,7 +57,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             out.append(np.multiply.accumulate(full))
         return tuple(out)
 
-    size = 1 << max(21, int(n).bit_length())
+    size = 1 << max(19, int(n).bit_length())
     up, down = per_process(f"powers{size}", lambda: make(size))
     return up[:n], down[:n]
 

@@ -70,7 +70,7 @@ class Model:
                 window = carrier + b" " + lowered[starts[at] : ends[at]] + b" "
                 gain = memo[name] = len(plain.compress(window)) - len(marked.compress(window))
             gains[k] = gain
-        if len(memo) > 400_000:  # values can be computed again
+        if len(memo) > 150_000:  # values can be computed again
             memo.clear()
         gain = gains[inverse]
         order = np.lexsort((-gain, rows))
