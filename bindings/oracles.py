@@ -367,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey AS order_id, strftime(o_orderdate, {_STAMP}) AS created_at,
                    (SELECT MAX(p_partkey) FROM part)
                      + ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS id
-            FROM orders WHERE o_orderstatus = 'F'""",
+            FROM orders""",
         "pick_orders": _with(
             "waiting",
             f"""

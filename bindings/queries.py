@@ -129,8 +129,8 @@ def split_service_type(v: Venue) -> DataFrame:
 
 
 def surrogate_keys(v: Venue) -> DataFrame:
-    closed = v.orders.filter("status_id = 'F'").select(F.col("id").alias("order_id"), "created_at")
-    return keys.surrogate_keys(closed, ["created_at", "order_id"], v.items.select("id"))
+    orders = v.orders.select(F.col("id").alias("order_id"), "created_at")
+    return keys.surrogate_keys(orders, ["created_at", "order_id"], v.items.select("id"))
 
 
 # 2.3 life-cycle

@@ -83,12 +83,11 @@ def _tier_of(spent):
     return max(reached)[1] if reached else None
 
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_tier_lookup_by_ranges_and_by_merge(spark, many_partitions, monkeypatch, limit):
-    monkeypatch.setattr(loyalty, "BROADCAST_TIERS", limit)
+@pytest.mark.parametrize("scale", [2, 4])
+def test_tier_lookup(spark, many_partitions, scale):
     rng = random.Random(3)
-    spent = [Decimal(rng.choice(["0", "9.99", "10", "99.99", "100", "499.99", "500", "9999"])) for _ in range(400)]
-    df = spark.createDataFrame(list(enumerate(spent)), "id int, s decimal(18,2)")
+    spent = [Decimal(rng.choice(["0", "9.99", "10", "99.99", "100", "499.99", "500", "9999", *["9.996"] * (scale > 2)])) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(spent)), f"id int, s decimal(18,{scale})")
     found = {r.id: r.reached_tier_id for r in loyalty.tier_reached(df, "s", _tiers(spark), "id").collect()}
     assert found == {i: _tier_of(s) for i, s in enumerate(spent)}
 

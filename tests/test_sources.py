@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from venueops.plans.session import SETTINGS, checkpointed, tuned
 from venueops.sources.schema import RESTAURANT
-from venueops.sources.tables import append_rows, literal_rows, typed_scan, write_version
+from venueops.sources.tables import append_rows, literal_rows, stored_scan, typed_scan, write_version
 
 
 @pytest.fixture
@@ -23,22 +23,25 @@ def test_literal_rows_are_numbered_in_order(units):
 
 def test_append_and_scan(spark, units, tmp_path):
     path = str(tmp_path / "units")
-    append_rows(units, path)
-    append_rows(units, path)
-    scanned = typed_scan(spark, path, RESTAURANT["Units"])
-    assert scanned.count() == 4 and scanned.dtypes == [("id", "int"), ("name", "string")]
+    for _ in range(4):  # numbering gives wider ids than the table declares
+        append_rows(units, path, RESTAURANT["Units"])
+        append_rows(units.withColumn("id", units["id"].cast("bigint") + 2), path, RESTAURANT["Units"])
+    for scanned in (typed_scan(spark, path, RESTAURANT["Units"]), stored_scan(spark, path, RESTAURANT["Units"])):
+        assert scanned.dtypes == [("id", "int"), ("name", "string")]
+        assert sorted(r.id for r in scanned.collect()) == sorted([1, 2, 3, 4] * 4)
 
 
 def test_a_version_is_never_written_over(spark, units, tmp_path):
-    first = write_version(units, str(tmp_path), "v1")
-    write_version(units.filter("false"), str(tmp_path), "v2")
+    first = write_version(units, str(tmp_path), "v1", RESTAURANT["Units"])
+    write_version(units.filter("false"), str(tmp_path), "v2", RESTAURANT["Units"])
     with pytest.raises(AnalysisException):
-        write_version(units.filter("false"), str(tmp_path), "v1")
+        write_version(units.filter("false"), str(tmp_path), "v1", RESTAURANT["Units"])
     assert spark.read.parquet(first).count() == 2
 
 
 def test_scan_reads_only_what_is_used(spark, tmp_path):
-    path = write_version(spark.range(10).selectExpr("id", "cast(id AS string) AS name", "id AS more"), str(tmp_path), "v1")
+    path = str(tmp_path / "units")
+    spark.range(10).selectExpr("id", "cast(id AS string) AS name", "id AS more").write.parquet(path)
     plan = typed_scan(spark, path, RESTAURANT["Units"]).select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan
 

@@ -2,51 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venueops.functions.columns import keyed
 from venueops.functions.ordered import running
 
-# up to this many thresholds are broadcast as ranges; beyond it the lookup is a sorted merge
-BROADCAST_TIERS = 1000
-
 
 def tier_reached(df: DataFrame, spent: str, tiers: DataFrame, key: str) -> DataFrame:
     """Adds ``reached_tier_id``: the tier with the greatest ``min_spent`` not above ``spent``.
 
-    NULL where no threshold is reached. ``key`` is unique in ``df``.
+    NULL where no threshold is reached; of equal thresholds the greatest id counts, and a NULL threshold is never
+    reached. Amounts are compared as they are, in the wider of both types. ``key`` is unique in ``df``. Thresholds
+    and rows are merged in order of amount, so that the number of tiers does not matter.
     """
-    if tiers.limit(BROADCAST_TIERS + 1).count() <= BROADCAST_TIERS:
-        return _by_ranges(df, spent, tiers)
-    return _by_merge(df, spent, tiers, key)
-
-
-def _by_ranges(df: DataFrame, spent: str, tiers: DataFrame) -> DataFrame:
-    ascending = Window.partitionBy(F.lit(0)).orderBy("min_spent", "id")
-    ranges = tiers.select(
-        F.col("id").alias("reached_tier_id"),
-        F.col("min_spent").alias("_from"),
-        F.lead("min_spent").over(ascending).alias("_to"),
-    )
-    inside = (F.col(spent) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(spent) < F.col("_to")))
-    return df.join(F.broadcast(ranges), inside, "left").drop("_from", "_to")
-
-
-def _by_merge(df: DataFrame, spent: str, tiers: DataFrame, key: str) -> DataFrame:
-    payload = F.struct(*df.columns)
-    amount = "decimal(28,2)"
-    thresholds = tiers.select(
-        F.col("min_spent").cast(amount).alias("_amount"),
+    thresholds = tiers.filter("min_spent is not null").select(
+        F.col("min_spent").alias("_amount"),
         F.lit(0).alias("_kind"),
         F.col("id").cast("string").alias("_tie"),
-        F.struct(F.col("min_spent").cast(amount).alias("at"), F.col("id").alias("tier")).alias("_tier"),
+        F.struct(F.col("min_spent").alias("at"), F.col("id").alias("tier")).alias("_tier"),
     )
     asked = df.select(
-        F.col(spent).cast(amount).alias("_amount"),
+        F.col(spent).alias("_amount"),
         F.lit(1).alias("_kind"),
         F.col(key).cast("string").alias("_tie"),
-        payload.alias("_row"),
+        F.struct(*df.columns).alias("_row"),
     )
     merged = thresholds.unionByName(asked, allowMissingColumns=True)
     met = running(merged, [], ["_amount", "_kind", "_tie"], {"_best": ("max", "_tier")})

@@ -48,15 +48,23 @@ def literal_rows(spark: SparkSession, table: Table, rows: Iterable[tuple], colum
     return typed(spark.createDataFrame(values, ddl), table, as_of)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def stored_scan(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """A table that :func:`append_rows` or :func:`write_version` wrote: its schema is declared, never inferred."""
+    return spark.read.schema(", ".join(f"`{name}` {kind}" for name, kind, _ in table.fields)).parquet(path)
 
 
-def write_version(df: DataFrame, root: str, version: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Writes ``df`` as a new version beside the older ones and returns its path.
+def append_rows(df: DataFrame, path: str, table: Table, as_of: Moment | None = None) -> None:
+    """Appends ``df`` in the declared types, so that all files of the table agree."""
+    typed(df, table, as_of).write.mode("append").parquet(path)
+
+
+def write_version(
+    df: DataFrame, root: str, version: str, table: Table, partition_by: tuple[str, ...] = (), as_of: Moment | None = None
+) -> str:
+    """Writes ``df`` in the declared types as a new version beside the older ones and returns its path.
 
     A version that exists is never written over, so a failed run leaves the older ones as they are.
     """
     path = f"{root}/{version}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    typed(df, table, as_of).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return path
