@@ -98,3 +98,9 @@ def test_guests_do_not_share_a_task(spark, small_skew):
     priced = baskets.price_baskets(orders, lines, customers, tiers).agg(F.sum("to_pay"), F.max("order_id"))
     assert float(priced.collect()[0][0]) == pytest.approx(2.0 * (n - n // 3 - 1) * 0.9 + 2.0 * (n // 3 + 1))
     assert "skew=true" in plan_of(priced, run=False)
+
+
+@pytest.mark.parametrize("name", ["tier_assignment", "cashback_accrual"])
+def test_tiers_are_met_without_a_product(spark, name):
+    plan = plan_of(getattr(bound, name)(Venue(spark, FOLDER)), run=False)
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
