@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from venueops.llm import chat, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
 
@@ -45,7 +46,9 @@ def op7_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    values = {"conv_id": F.lit(-7), "turn": F.col("id"), "role": role, "text": F.lit(said)}
+    probe = spark.range(2).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in turns.schema])
     return chat.read_back(chat.formatted(turns.unionByName(probe)))
 
 
