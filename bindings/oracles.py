@@ -188,6 +188,12 @@ def _audit() -> str:
         "orders": ["o_orderkey", "o_custkey,o_orderdate"],
         "lineitem": ["l_orderkey,l_linenumber"],
         "events": ["event_id", "user_id,ts"],
+        "documents": ["doc_id"],
+        "embeddings": ["vec_id"],
+        "pages": ["page_id", "url"],
+        "benchmark": ["item_id"],
+        "labels": ["doc_id"],
+        "conversations": ["conv_id,turn"],
     }
     mandatory = {
         "region": "r_regionkey r_name",
@@ -198,6 +204,12 @@ def _audit() -> str:
         "orders": "o_orderkey o_custkey o_orderdate",
         "lineitem": "l_orderkey l_linenumber l_shipdate",
         "events": "event_id ts user_id value",
+        "documents": "doc_id text source",
+        "embeddings": "vec_id embedding",
+        "pages": "page_id url html",
+        "benchmark": "item_id text",
+        "labels": "doc_id quality toxic",
+        "conversations": "conv_id turn role",
     }
     references = [
         ("nation", "n_regionkey", "region", "r_regionkey"),
@@ -208,6 +220,7 @@ def _audit() -> str:
         ("lineitem", "l_partkey", "part", "p_partkey"),
         ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
         ("events", "user_id", "supplier", "s_suppkey"),
+        ("labels", "doc_id", "documents", "doc_id"),
     ]
     checks = [
         f"""SELECT '{t}' AS table_name, 'unique' AS rule, '{key}' AS columns,
@@ -458,12 +471,14 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN customers_v c ON c.id = o.customer_id""",
         ),
         "order_lines": _with(
-            "lines_v items_v",
-            """
-            SELECT l.order_id, l.menu_item_id, i.name AS item, l.quantity,
-                   CAST(l.item_cost AS DOUBLE) AS price_per_item,
-                   CAST(l.quantity * l.item_cost AS DOUBLE) AS total_price
-            FROM lines_v l JOIN items_v i ON i.id = l.menu_item_id""",
+            "items_v",
+            f"""
+            SELECT l_orderkey * 1000 + l_linenumber AS line_id, l_orderkey AS order_id, l_partkey AS menu_item_id,
+                   i.name AS item, CAST(l_quantity AS INTEGER) AS quantity,
+                   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price_per_item,
+                   CAST(CAST(l_quantity AS INTEGER) * CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS total_price,
+                   strftime(l_shipdate, {_STAMP}) AS created_at
+            FROM lineitem JOIN items_v i ON i.id = l_partkey""",
         ),
         "kitchen_report": _with(
             "waiting order_status deliveries_v dine_ins_v seats_v customers_v",

@@ -200,7 +200,7 @@ def order_report_delivery(v: Venue) -> DataFrame:
 
 
 def order_lines(v: Venue) -> DataFrame:
-    return receipts.order_lines(v.lines, v.items)
+    return receipts.order_lines(v.numbered_lines, v.items)
 
 
 def kitchen_report(v: Venue) -> DataFrame:
@@ -338,6 +338,15 @@ def _audited() -> list[Table]:
             "events", "event_id bigint!; ts timestamp_ntz!; user_id bigint!; value double!", (("user_id", "ts"),),
             {"user_id": ref("supplier", "s_suppkey")}, primary=("event_id",),
         ),
+        Table("documents", "doc_id bigint!; text string!; source string!", primary=("doc_id",)),
+        Table("embeddings", "vec_id bigint!; embedding array<float>!", primary=("vec_id",)),
+        Table("pages", "page_id bigint!; url string!; html string!", (("url",),), primary=("page_id",)),
+        Table("benchmark", "item_id bigint!; text string!", primary=("item_id",)),
+        Table(
+            "labels", "doc_id bigint!; quality int!; toxic int!", (), {"doc_id": ref("documents", "doc_id")},
+            primary=("doc_id",),
+        ),
+        Table("conversations", "conv_id bigint!; turn bigint!; role string!", primary=("conv_id", "turn")),
     ]
 
 

@@ -123,6 +123,17 @@ class Venue:
             F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("cooked_at"),
         )
 
+    @cached_property
+    def numbered_lines(self):
+        return self.read("lineitem").select(
+            (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("id"),
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("menu_item_id"),
+            money("l_extendedprice").alias("item_cost"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            F.col("l_shipdate").alias("created_at"),
+        )
+
     @cached_property
     def timed_lines(self):
         ordered = self.orders.select(F.col("id").alias("order_id"), "created_at")

@@ -11,7 +11,7 @@ from tests.restaurant import LOADED, network, tables
 from venueops.functions.columns import id_of
 from venueops.operators import audit, baskets, bookings, lifecycle, receipts, reports, routes
 from venueops.plans import workflows
-from venueops.sources.schema import RESTAURANT
+from venueops.sources.schema import RESTAURANT, Reference, Table
 from venueops.sources.tables import typed
 
 APRIL = ("2026-04-01", "2026-04-30")
@@ -343,6 +343,8 @@ def test_loyalty_carrier_and_waiter_reports(t):
         ("Коробок Спичечный", 6, "Барная стойка", "Ожидание"),
     ]
     lines = receipts.order_lines(t["OrderItems"].filter("order_id = 3"), t["MenuItems"])
+    of_table = t["OrderItems"].filter("order_id = 3").select("id", "created_at")
+    assert sorted(got(lines, "line_id", "created_at")) == sorted(got(of_table))
     assert got(lines.orderBy("item"), "item", "quantity", "price_per_item", "total_price") == [
         ("Вино", 1, 350, 350), ("Картофель три", 1, 250, 250), ("Пятиэтажный бургер", 2, 450, 900),
     ]
@@ -431,3 +433,23 @@ def test_audit_finds_injected_faults(spark, t):
         ("Orders", "not_null", "status_id", 1),
         ("Orders", "unique", "id", 1),
     ]
+
+
+def test_audit_reads_references_of_a_table_together(spark):
+    parents = spark.createDataFrame([(1,), (2,)], "id int")
+    children = spark.createDataFrame([(1, 1, 9), (2, 9, 9), (3, None, 2)], "id int, a int, b bigint")
+    tables = [
+        Table("P", "id int!"),
+        Table("C", "id int!; a int; b bigint", foreign={"a": Reference("P"), "b": Reference("P")}),
+    ]
+    found = audit.constraint_audit({"P": parents, "C": children}, tables).filter("rule = 'foreign'")
+    assert sorted(got(found)) == [("C", "foreign", "a", 1), ("C", "foreign", "b", 2)]
+
+
+def test_advance_status_can_give_only_the_changed_rows(spark, t):
+    picked = t["Orders"].filter("id = 2").select("id")
+    new = {"status_id": F.lit(3)}
+    changed = lifecycle.advance_status(t["Orders"], picked, new, only_changed=True)
+    whole = lifecycle.advance_status(t["Orders"], picked, new)
+    assert changed.columns == t["Orders"].columns
+    assert changed.collect() == whole.filter("id = 2").collect() and whole.count() == t["Orders"].count()

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venueops.sources.schema import Table
 
@@ -25,8 +26,8 @@ def constraint_audit(frames: dict[str, DataFrame], tables: list[Table]) -> DataF
             checks.append(_unique(frame, table.name, key))
         if table.not_null:
             checks.append(_not_null(frame, table.name, table.not_null))
-        for column, parent in table.foreign.items():
-            checks.append(_foreign(frame, table.name, column, frames[parent.name], parent.key))
+        if table.foreign:
+            checks.append(_foreign(frame, table, frames))
     return reduce(DataFrame.unionByName, checks)
 
 
@@ -55,8 +56,27 @@ def _not_null(frame: DataFrame, table: str, columns: list[str]) -> DataFrame:
     )
 
 
-def _foreign(frame: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """References are counted before the join, so a much used one is a single row in it."""
-    used = frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).count()
-    lost = used.join(parent.select(F.col(key).alias("_ref")), "_ref", "left_anti").agg(F.sum("count").alias("n"))
-    return _result(lost, table, "foreign", column, F.col("n"))
+def _foreign(frame: DataFrame, table: Table, frames: dict[str, DataFrame]) -> DataFrame:
+    """All references of a table in one pass. They are counted before the join, so a much used one is a single row in it."""
+    names = list(table.foreign)
+    held = [frame.schema[c] for c in names] + [frames[p.name].schema[p.key] for p in table.foreign.values()]
+    kind = "bigint" if all(isinstance(f.dataType, T.IntegralType) for f in held) else "string"
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("columns"), F.col(c).cast(kind).alias("_ref")) for c in names])
+    )
+    used = frame.select(pairs.alias("r")).select("r.columns", "r._ref").filter("_ref is not null")
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            frames[parent.name].select(F.lit(c).alias("columns"), F.col(parent.key).cast(kind).alias("_ref"))
+            for c, parent in table.foreign.items()
+        ],
+    )
+    lost = used.groupBy("columns", "_ref").count().join(known, ["columns", "_ref"], "left_anti")
+    sums = lost.agg(*[F.sum(F.when(F.col("columns") == c, F.col("count"))).alias(c) for c in names])
+    counts = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("columns"), F.coalesce(c, F.lit(0)).alias("violations")) for c in names])
+    )
+    return sums.select(counts.alias("check")).select(
+        F.lit(table.name).alias("table_name"), F.lit("foreign").alias("rule"), "check.columns", "check.violations"
+    )

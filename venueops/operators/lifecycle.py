@@ -25,13 +25,16 @@ def pick_orders(
     return waiting.orderBy(way("created_at"), way("id")).limit(n)
 
 
-def advance_status(table: DataFrame, picked: DataFrame, new: dict[str, Column], key: str = "id") -> DataFrame:
+def advance_status(
+    table: DataFrame, picked: DataFrame, new: dict[str, Column], key: str = "id", only_changed: bool = False
+) -> DataFrame:
     """New version of ``table``: rows of the picked orders get the ``new`` values.
 
-    ``key`` is the column of ``table`` holding the order id ("id" for the orders themselves).
+    ``key`` is the column of ``table`` holding the order id ("id" for the orders themselves). With
+    ``only_changed`` just those rows come back, so that an update of a few orders writes a few rows.
     """
     patch = picked.select(F.col("id").alias(key)).withColumns(new)
-    return overlay(table, patch, key, list(new))
+    return overlay(table, patch, key, list(new), only_changed)
 
 
 def material_consumption(picked: DataFrame, lines: DataFrame, recipes: DataFrame) -> DataFrame:

@@ -112,14 +112,16 @@ def order_report_delivery(
 
 
 def order_lines(lines: DataFrame, items: DataFrame) -> DataFrame:
-    """Item, quantity, unit price and price of each line."""
+    """Item, quantity, unit price and price of each line, with its id and the time it was ordered."""
     return lines.join(keyed(items, "menu_item_id", item="name"), "menu_item_id").select(
+        F.col("id").alias("line_id"),
         "order_id",
         "menu_item_id",
         "item",
         "quantity",
         F.col("item_cost").alias("price_per_item"),
         (F.col("quantity") * F.col("item_cost")).cast("decimal(18,2)").alias("total_price"),
+        "created_at",
     )
 
 

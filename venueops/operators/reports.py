@@ -120,14 +120,19 @@ def copurchase_pairs(
     if there are any, are treated apart and exactly; see :func:`_pairs_of_large_orders`.
     """
     # read several times below, and narrow: two columns, repeats gone
-    bought = checkpointed(lines.select("order_id", "menu_item_id").distinct())
+    bought = lines.select("order_id", "menu_item_id").distinct()
+    if min_support > 1:  # an item in fewer orders is in no pair that counts
+        bought = checkpointed(bought)
+        often = bought.groupBy("menu_item_id").count().filter(F.col("count") >= min_support)
+        bought = bought.join(often, "menu_item_id", "left_semi")
+    bought = checkpointed(bought)
     large = bought.groupBy("order_id").agg(F.count(F.lit(1)).alias("distinct_items")).filter(
         F.col("distinct_items") > order_limit
     )
     if large.isEmpty():
         pairs = _pairs_within(bought)
     else:
-        small_pairs = _pairs_within(bought.join(large, "order_id", "left_anti"))
+        small_pairs = checkpointed(_pairs_within(bought.join(large, "order_id", "left_anti")))
         large_pairs = _pairs_of_large_orders(
             bought.join(large, "order_id"), small_pairs, min_support, order_limit
         )
