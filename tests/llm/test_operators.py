@@ -232,6 +232,27 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([x > y for x in bad for y in good]) > 0.85
 
 
+def test_toxic_phrases_of_ordinary_words_have_gains():
+    rng = random.Random(6)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 8))) for _ in range(600)]
+
+    def some(together):  # the same three words in every text, side by side or scattered
+        text = [rng.choice(plain[3:]) for _ in range(60)]
+        places = [30, 30, 30] if together else [50, 30, 10]
+        for word, at in zip(plain[2::-1], places, strict=True):
+            text.insert(at, word)
+        return " ".join(text)
+
+    model = toxicity.train([some(True) for _ in range(600)], [some(False) for _ in range(900)], 0.3)
+    scores = []
+    for together in (False, True):
+        texts = [some(together) for _ in range(300)]
+        offsets = np.r_[0, np.cumsum([len(x) for x in texts])]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        scores.append(model.scores(model.features(data, offsets, model.compressors(), {})))
+    assert np.mean(scores[1][:, None] > scores[0][None, :]) > 0.8
+
+
 def test_held_out_labels_do_not_matter(spark, docs, labels, odd):
     changed = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (dict(toxicity.scored(docs, x).select("doc_id", "score").collect()) for x in (labels, changed))

@@ -1,14 +1,14 @@
-"""Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary text, one on toxic text.
+"""Toxicity by compression distance: zstandard dictionaries, one trained on ordinary text, two on toxic text.
 
-Windows are words. Each is compressed after a fixed carrier (a stretch of the ordinary dictionary that costs one match)
-once with the ordinary dictionary and once with the ordinary and the toxic one; the difference of the two lengths
-says how much the toxic text explains of it. Both compressors see the ordinary dictionary at the same distances,
-so that the difference comes from toxic text alone.
+Windows are single words and runs of ``SPAN`` words. Each is compressed after a fixed carrier (a stretch of the
+ordinary dictionary that costs one match) with the ordinary dictionary alone and with the ordinary and each toxic one;
+the difference of the lengths says how much the toxic text explains of it. All compressors see the ordinary
+dictionary at the same distances, so that the difference comes from toxic text alone.
 
-The toxic dictionary is trained on the words of toxic samples that begin like words that are significantly more
-frequent, by documents, in toxic than in ordinary samples. A document's largest differences and its counts of
-windows beyond several thresholds are calibrated to a probability by a logistic fit on samples that the
-dictionaries have not seen.
+One toxic dictionary is trained on the whole toxic samples. The other is trained on those words and phrases of two
+or three words in them that are more frequent, by documents, than chance lets any be that is as frequent in
+ordinary samples. A document's largest differences and its counts of windows beyond several thresholds are calibrated
+to a probability by a logistic fit on samples that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ from venueops.llm.common import KEY, row_key, without
 
 TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_BYTES = 2000, 5000, 16_000  # most texts per class, and bytes of a text
 THRESHOLDS = (3, 4, 5, 6)
+SPAN = 8  # words of a wide window, one starting every half of it
+PHRASES = (2, 3)
+SURPRISE = 12  # nats: exp(12) is about the number of words and phrases that are looked at
 LEVEL = 3
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -40,11 +43,13 @@ def held_out(doc_id):
 class Model:
     """Dictionaries and calibration; small enough to be shipped with a task."""
 
-    def __init__(self, prior: float, ordinary: bytes = b"", toxic: bytes = b""):
+    def __init__(self, prior: float, ordinary: bytes = b"", toxic: tuple[bytes, ...] = ()):
         self.prior, self.ordinary, self.toxic = prior, ordinary, toxic
         self.center = self.scale = self.weights = None
 
     def compressors(self):
+        """The ordinary one and one for each toxic dictionary."""
+
         def one(content: bytes):
             held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=LEVEL)
@@ -52,38 +57,49 @@ class Model:
                 dict_data=held, level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
             )
 
-        return one(self.ordinary + bytes(len(self.toxic))), one(self.ordinary + self.toxic)
+        most = max(map(len, self.toxic))
+        return [one(self.ordinary + bytes(most - len(x)) + x) for x in (bytes(most), *self.toxic)]
 
-    def features(self, data: np.ndarray, offsets: np.ndarray, plain, marked, memo: dict[int, int]) -> np.ndarray:
+    def features(self, data: np.ndarray, offsets: np.ndarray, tools: list, memo: dict[int, list[int]]) -> np.ndarray:
         """A row for each text of the slice."""
         n = len(offsets) - 1
         hashes, rows, starts, ends = K.words(data, offsets, "punctuation")
-        out = np.zeros((n, 4 + len(THRESHOLDS)))
+        each = 4 + len(THRESHOLDS)
+        out = np.zeros((n, 2 * len(self.toxic) * each + 1))
         if not len(hashes):
             return out
-        known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         lowered = data.tobytes().translate(LOWER)
+        known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        tokens = [lowered[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        joined = b" " + b" ".join(tokens) + b" "
+        at = np.r_[0, np.cumsum(ends - starts + 1)]
         carrier = self.ordinary[-40:]
-        gains = np.empty(len(known))
-        for k, (name, at) in enumerate(zip(known.tolist(), first.tolist(), strict=True)):
-            if (gain := memo.get(name)) is None:
-                window = carrier + b" " + lowered[starts[at] : ends[at]] + b" "
-                gain = memo[name] = len(plain.compress(window)) - len(marked.compress(window))
-            gains[k] = gain
+        plain, *marked = (tool.compress for tool in tools)
+
+        def gains_of(window: bytes) -> list[int]:
+            window = carrier + window
+            length = len(plain(window))
+            return [length - len(tool(window)) for tool in marked]
+
+        gains = []
+        for name, k in zip(known.tolist(), first.tolist(), strict=True):
+            if (found := memo.get(name)) is None:
+                found = memo[name] = gains_of(b" " + tokens[k] + b" ")
+            gains.append(found)
         if len(memo) > 150_000:  # values can be computed again
             memo.clear()
-        gain = gains[inverse]
-        order = np.lexsort((-gain, rows))
         count = np.bincount(rows, minlength=n)
         begin = np.cumsum(count) - count
-        for most, column in ((1, 0), (2, 1), (4, 2)):
-            total = np.zeros(n)
-            for k in range(most):
-                has = count > k
-                total[has] += gain[order[begin[has] + k]]
-            out[:, column] = total / most
-        for k, least in enumerate(THRESHOLDS):
-            out[:, 3 + k] = np.log1p(np.bincount(rows, weights=gain >= least, minlength=n))
+        # wide windows begin at every half of a span as long as they reach words that the one before does not
+        place = np.arange(len(rows)) - begin[rows]
+        heads = np.flatnonzero((place % (SPAN // 2) == 0) & ((place == 0) | (place + SPAN // 2 < count[rows])))
+        tails = np.minimum(heads + SPAN, (begin + count)[rows[heads]])
+        wide = [gains_of(joined[a : b + 1]) for a, b in zip(at[heads].tolist(), at[tails].tolist(), strict=True)]
+        column = 0
+        for owners, values in ((rows, np.array(gains, dtype=np.float64)[inverse]), (rows[heads], np.array(wide, dtype=np.float64))):
+            for gain in values.T:
+                out[:, column : column + each] = _summary(gain, owners, n)
+                column += each
         out[:, -1] = np.log1p(count)
         return out
 
@@ -104,6 +120,24 @@ class Model:
         self.weights = w
 
 
+def _summary(gain: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """For each row the mean of its largest one, two and four gains and of all, and how many reach each threshold."""
+    out = np.zeros((n, 4 + len(THRESHOLDS)))
+    order = np.lexsort((-gain, rows))
+    count = np.bincount(rows, minlength=n)
+    begin = np.cumsum(count) - count
+    for column, most in enumerate((1, 2, 4)):
+        total = np.zeros(n)
+        for k in range(most):
+            has = count > k
+            total[has] += gain[order[begin[has] + k]]
+        out[:, column] = total / most
+    out[:, 3] = np.bincount(rows, weights=gain, minlength=n) / np.maximum(count, 1)
+    for k, least in enumerate(THRESHOLDS):
+        out[:, 4 + k] = np.log1p(np.bincount(rows, weights=gain >= least, minlength=n))
+    return out
+
+
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -119,46 +153,84 @@ def _beginnings(text: bytes) -> set[bytes]:
     return out
 
 
+def _surprise(count, expected):
+    """How far ``count`` is beyond what is expected, in nats of a Poisson law; 0 where it is not."""
+    count = np.asarray(count, dtype=np.float64)
+    return np.where(count > expected, count * np.log(np.maximum(count, 1) / expected) - (count - expected), 0)
+
+
+def _phrase_counts(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(phrases, in how many texts; the phrase at each place, the place's first word)."""
+    values, at = K.grams(hashes, rows, n, short=False)
+    order = np.lexsort((rows[at], values))
+    v, r = values[order], rows[at][order]
+    fresh = np.r_[True, (v[1:] != v[:-1]) | (r[1:] != r[:-1])] if len(v) else np.empty(0, bool)
+    return *np.unique(v[fresh], return_counts=True), values, at
+
+
+def _telling(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Each toxic text's words and phrases whose frequency among toxic texts is a surprise of ``SURPRISE``."""
+    m, n = len(toxic), len(ordinary)
+    spread = [Counter(), Counter()]
+    for text in toxic:
+        spread[1].update(_beginnings(text))
+    spread[1] = Counter({part: count for part, count in spread[1].items() if count > 1})
+    for text in ordinary:
+        spread[0].update(part for part in _beginnings(text) if part in spread[1])
+    parts = list(spread[1])
+    expected = m * (np.array([spread[0][x] for x in parts], dtype=np.float64) + 0.5) / n
+    stands_out = _surprise([spread[1][x] for x in parts], expected) >= SURPRISE
+    telling = {x for x, good in zip(parts, stands_out.tolist(), strict=True) if good}
+
+    sides = []
+    for side in (toxic, ordinary):
+        offsets = np.r_[0, np.cumsum([len(x) for x in side])]
+        sides.append((b"".join(side), K.words(np.frombuffer(b"".join(side), dtype=np.uint8), offsets, "punctuation")))
+    (data, (hashes, rows, starts, ends)), (_, (others, their_rows, _, _)) = sides
+    words = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    kept = np.array([w + b" " in telling or any(w[:k] in telling for k in range(4, 10)) for w in words], dtype=bool)
+    for size in PHRASES:
+        phrases, counts, values, at = _phrase_counts(hashes, rows, size)
+        other, other_counts, _, _ = _phrase_counts(others, their_rows, size)
+        if not len(phrases):
+            continue
+        in_ordinary = np.zeros(len(phrases))
+        _, here, there = np.intersect1d(phrases, other, assume_unique=True, return_indices=True)
+        in_ordinary[here] = other_counts[there]
+        good = phrases[_surprise(counts, m * (in_ordinary + 0.5) / n) >= SURPRISE]
+        for first in at[np.isin(values, good)].tolist():
+            kept[first : first + size] = True
+    out = [b""] * m
+    last = -2
+    for k in np.flatnonzero(kept).tolist():
+        apart = k != last + 1 or rows[k] != rows[last]
+        out[rows[k]] += (b"  " if apart else b" ") + words[k]
+        last = k
+    return [x[1:] + b" " for x in out if x]
+
+
 def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
     """Two thirds of the samples make the dictionaries, a third the calibration."""
     toxic, ordinary = ([x.encode().translate(LOWER) for x in side] for side in (toxic, ordinary))
     if len(toxic) < 3 or len(ordinary) < 3:
         return Model(prior)
     learn = [[x for i, x in enumerate(side) if i % 3] for side in (ordinary, toxic)]
-    spread = [Counter(), Counter()]
-    n, m = len(learn[0]), len(learn[1])
-    for text in learn[1]:
-        spread[1].update(_beginnings(text))
-    spread[1] = Counter({part: count for part, count in spread[1].items() if count >= max(2, 0.01 * m)})
-    for text in learn[0]:
-        spread[0].update(part for part in _beginnings(text) if part in spread[1])
-
-    def stands_out(part: bytes, count: int) -> bool:
-        expected = m * (spread[0][part] + 0.5) / n
-        return count - expected >= 14 * expected**0.5
-
-    telling = {part for part, count in spread[1].items() if stands_out(part, count)}
-
-    def marked(text: bytes) -> bytes:
-        return b"".join(
-            b" " + w + b" "
-            for w in WORD.findall(text)
-            if w + b" " in telling or any(w[:k] in telling for k in range(4, 10))
-        )
-
-    pieces = [x[i : i + 64] for x in learn[0] for i in range(0, len(x), 64)]
+    normal = [[b" " + b" ".join(WORD.findall(x)) + b" " for x in side] for side in learn]
+    pieces = [x[i : i + 64] for x in normal[0] for i in range(0, len(x), 64)]
     model = Model(
-        prior, _dictionary(pieces, 24 << 10), _dictionary([x for text in learn[1] if (x := marked(text))], 8 << 10)
+        prior,
+        _dictionary(pieces, 24 << 10),
+        (_dictionary(normal[1], 16 << 10), _dictionary(_telling(learn[1], learn[0]), 16 << 10)),
     )
     rest = toxic[::3] + ordinary[::3]
     labels = np.r_[np.ones(len(toxic[::3])), np.zeros(len(ordinary[::3]))]
     offsets = np.r_[0, np.cumsum([len(x) for x in rest])]
     data = np.frombuffer(b"".join(rest), dtype=np.uint8)
     memo, parts = {}, []
-    plain, with_toxic = model.compressors()
+    tools = model.compressors()
     for k in range(0, len(rest), 500):
         edges = offsets[k : k + 501]
-        parts.append(model.features(data[edges[0] : edges[-1]], edges - edges[0], plain, with_toxic, memo))
+        parts.append(model.features(data[edges[0] : edges[-1]], edges - edges[0], tools, memo))
     model.calibrate(np.concatenate(parts), labels)
     return model
 
@@ -195,14 +267,14 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = model.value
-        plain, marked = tool.compressors() if tool.weights is not None else (None, None)
-        memo: dict[int, int] = {}
+        tools = tool.compressors() if tool.weights is not None else []
+        memo: dict[int, list[int]] = {}
         for batch in batches:
             for lo, hi, offsets, data in K.slices(batch.column(3)):
                 if tool.weights is None:
                     scores = tool.scores(np.zeros((hi - lo, 1)))
                 else:
-                    scores = tool.scores(tool.features(data, offsets, plain, marked, memo))
+                    scores = tool.scores(tool.features(data, offsets, tools, memo))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
