@@ -201,6 +201,24 @@ def test_packed_documents(docs, odd):
     assert packing.pack_documents(odd.limit(0)).count() == 0
 
 
+def test_ids_are_those_of_the_library_with_added_tokens_in_texts(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n", "<|ENDOFTEXT|>", "<|endoftext", "é <|endoftext|> " * 600, "plain", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tool = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: [*tool.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert 50256 in want[0]
+    got = packing.pack_documents(frame).collect()
+    cut = Counter((d, s, zlib.crc32(np.array(ids[s : s + 1024], "<u4").tobytes()), len(ids)) for d, ids in want.items() for s in range(0, len(ids), 1024))
+    assert Counter((r.doc_id, r.start, r.ids_crc32, r.doc_tokens) for r in got) == cut
+    pieces = {}
+    for block in token_bins.packed_ids(frame).collect():
+        matrix = np.frombuffer(block.ids, dtype=block.dtype)
+        for a, b, doc_id, start in zip(block.cu_seqlens, block.cu_seqlens[1:], block.doc_ids, block.starts, strict=False):
+            if start is not None:
+                pieces[doc_id, start] = matrix[a:b].tolist()
+    assert pieces == {(d, s): ids[s : s + 1024] for d, ids in want.items() for s in range(0, len(ids), 1024)}
+
+
 def test_little_padding(spark, docs):
     total = packing.pack_documents(docs).agg(F.sum("length"), F.countDistinct("sequence_id")).first()
     assert total[0] / (1024 * total[1]) > 0.98

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 from pyspark.sql import SparkSession
+from tokenizers import Tokenizer
 
 from venueops.llm import kernel as K
 
@@ -24,25 +26,36 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Ids by merge ranks; strings of special tokens inside a text are ordinary text."""
+    """Ids as by the tokenizers library without added specials: strings of added tokens inside a text are those tokens.
+
+    Texts without such strings are encoded by merge ranks alone, the others by the library itself.
+    """
 
     def __init__(self, content: str):
         import tiktoken
 
         letters = _byte_letters()
         found = json.loads(content)
-        special = {x["content"] for x in found.get("added_tokens", [])}
+        added = {x["content"]: x["id"] for x in found.get("added_tokens", [])}
         ranks = {
-            bytes(letters[c] for c in token): i for token, i in found["model"]["vocab"].items() if token not in special
+            bytes(letters[c] for c in token): i for token, i in found["model"]["vocab"].items() if token not in added
         }
-        self.size = max(found["model"]["vocab"].values()) + 1
+        self.size = max(*found["model"]["vocab"].values(), *added.values()) + 1
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.content, self.library = content, None
         self.tool = tiktoken.Encoding(
             "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
     def ids(self, text: str) -> np.ndarray:
         """The text's ids and the separator."""
-        return np.array([*self.tool.encode_ordinary(text), SEPARATOR], dtype="<u4")
+        if self.added is not None and self.added.search(text):
+            if self.library is None:
+                self.library = Tokenizer.from_str(self.content)
+            found = self.library.encode(text, add_special_tokens=False).ids
+        else:
+            found = self.tool.encode_ordinary(text)
+        return np.array([*found, SEPARATOR], dtype="<u4")
 
 
 def shipped(spark: SparkSession, path: str | None):
