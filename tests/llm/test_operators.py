@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ import corpus_pipeline
 from tests.parity import connect, difference
 from venueops.llm import (
     chat,
+    common,
     kernel,
     licences,
     packing,
@@ -486,6 +489,19 @@ def test_set_join(spark, monkeypatch, n, num):
     assert sorted(kept) == sorted(i for i in sets if want[i] == i)
 
 
+def test_set_join_when_every_scan_cuts_other_batches(spark, monkeypatch):
+    monkeypatch.setitem(common.WRITING, "spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    bases = [" ".join(f"w{pair}x{k}" for k in range(100)) for pair in range(40)]
+    frame = spark.createDataFrame([(i, f"{bases[i // 2]} end{i}") for i in range(80)], "doc_id long, text string").coalesce(1)
+
+    def in_new_order(batches):
+        rows = pa.Table.from_batches(batches)
+        yield from rows.take(sorted(range(len(rows)), key=lambda _: os.urandom(8))).combine_chunks().to_batches()
+
+    got = setjoin.jaccard_components(frame.mapInArrow(in_new_order, frame.schema)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i in range(80)}
+
+
 def test_set_join_on_odd_rows(odd):
     assert setjoin.jaccard_components(odd).count() == odd.count()
     assert setjoin.one_of_each(odd).columns == odd.columns

@@ -206,9 +206,9 @@ def signatures_of(threshold, plan, values, rows, sizes):
     return np.concatenate(signatures), np.concatenate(owners)
 
 
-def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dict[int, int], local: bool) -> DataFrame:
-    """(sig, sid, pivot): of each batch, the first class with a signature (pivot null), or with ``local`` the
-    others with that first one as their pivot."""
+def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dict[int, int]) -> DataFrame:
+    """(sig, sid, pivot): of each batch, the first class with a signature (pivot null), and the others with that first
+    one as their pivot. Another scan may cut other batches, so both kinds have to come from one."""
     plans: dict[int, tuple[int, int]] = {}
 
     def plan(scheme: int) -> tuple[int, int]:
@@ -236,17 +236,14 @@ def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dic
             order = np.lexsort((owners, found))
             found, owners = found[order], owners[order]
             head = np.r_[True, found[1:] != found[:-1]] if len(found) else np.empty(0, bool)
-            if local:
-                pivot = owners[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-                out = np.flatnonzero(~head & (ids[owners] != ids[pivot]).any(axis=1))
-            else:
-                out = np.flatnonzero(head)
+            pivot = owners[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
+            out = np.flatnonzero(head | (ids[owners] != ids[pivot]).any(axis=1))
             for some in np.array_split(out, max(1, len(out) // 200_000)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(K.signed(found[some])),
                         _binary(ids[owners[some]]),
-                        _binary(ids[pivot[some]]) if local else pa.nulls(len(some), pa.binary()),
+                        pa.array([None if h else x.tobytes() for h, x in zip(head[some], ids[pivot[some]], strict=True)], pa.binary()),
                     ],
                     ["sig", "sid", "pivot"],
                 )
@@ -350,13 +347,15 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     }
 
     same = Window.partitionBy("sig")
+    signatures, path = written(_signatures(docs, n_words, threshold, counts))
     met = (
-        _signatures(docs, n_words, threshold, counts, local=False)
+        signatures.filter("pivot is null")
         .select("sig", "sid", F.min("sid").over(same).alias("pivot"), F.max("sid").over(same).alias("other"))
         .filter("pivot <> other")
         .select("sig", "sid", "pivot")
     )
-    members = checkpointed(met.unionByName(_signatures(docs, n_words, threshold, counts, local=True)))
+    members = checkpointed(met.unionByName(signatures.filter("pivot is not null")))
+    removed(spark, path)
 
     met_pairs = checkpointed(
         members.filter("sid <> pivot")
