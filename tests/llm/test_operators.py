@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -296,6 +297,16 @@ def test_licence_texts_in_other_dress(spark, odd):
     assert licences.scanned(odd).count() == odd.count()
 
 
+def test_usual_licence_files(spark):
+    mit, bsd = licences.KNOWN["MIT"][0], licences.KNOWN["BSD-3-Clause"][0]
+    rows = [(k, f"{title}\n\nCopyright (c) 2021 Some One\n\n" + textwrap.fill(mit, 79)) for k, title in enumerate(("MIT License", "The MIT License (MIT)", "The MIT License"))]
+    rows += [(10, "BSD 3-Clause License\n\nCopyright (c) 2021, Some One\nAll rights reserved.\n\n" + "\n\n".join(textwrap.fill(p, 79) for p in bsd.split("\n\n")))]
+    rows += [(11, "Copyright 2021 Some One\n\n" + licences.KNOWN["BSD-2-Clause"][0]), (12, licences.KNOWN["Unlicense"][0]), (13, "Some title\n\n" + mit)]
+    out = {r.doc_id: r.license for r in licences.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {0: "MIT", 1: "MIT", 2: "MIT", 10: "BSD-3-Clause", 11: "BSD-2-Clause", 12: "Unlicense", 13: None}
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0"} <= set(licences.WHOLE.values())
+
+
 # 6
 
 

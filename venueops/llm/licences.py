@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,79 @@ KNOWN = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0."],
     "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0."],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met:\n\n1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.\n\nTHIS "
+        'SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR "
+        "A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+        "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met:\n\n1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.\n\n3. Neither "
+        "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE IS "
+        'PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+        "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+        "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, "
+        "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+        "compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions "
+        "that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+        "interest in the software to the public domain. We make this dedication for the benefit of the public "
+        "at large and to the detriment of our heirs and successors. We intend this dedication to be an overt "
+        "act of relinquishment in perpetuity of all present and future rights to this software under "
+        'copyright law.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\nFor more information, please refer to "
+        "<https://unlicense.org>",
+    ],
+}
+
+# Digests of whole published texts, titles included.
+WHOLE = {
+    "ebc600199db9838b4fc2d5288a12598c2702142177a89b3443f5cc87b137d94b": "Apache-2.0",
+    "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f": "CC0-1.0",
+    "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224": "GPL-1.0-only",
+    "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1": "GPL-2.0-only",
+    "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f": "GPL-3.0-only",
+    "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3": "LGPL-2.0-only",
+    "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345": "LGPL-2.1-only",
+    "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be": "LGPL-3.0-only",
+    "f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6": "MPL-1.1",
+    "9e79a7d513376f6fa1500e4df4f6276c6e7e61c5c3e28dcdb1acee24033acc56": "MPL-2.0",
+    "cc2cd6cccfacd5fb622fb0e9b9a373fa9dcb86a8c152213a2b856dfbe24fe304": "Artistic-1.0-Perl",
+    "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f": "GFDL-1.2-only",
+    "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480": "GFDL-1.3-only",
+}
+
+# What files put above a text; a line of copyright between goes in the canonical form.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "All rights reserved.", "BSD 2-Clause License\nAll rights reserved."],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "All rights reserved.", "BSD 3-Clause License\nAll rights reserved."],
+    "Unlicense": ["The Unlicense"],
 }
 
 # Spellings that count as the same, longest first.
@@ -87,7 +161,18 @@ def _digest(text: str) -> str:
 
 
 def digests(known: dict[str, list[str]]) -> dict[str, str]:
-    return {_digest(text): name for name, texts in known.items() for text in texts}
+    """Of each text as it is, and of whole texts under their usual titles and with lines of usual widths, as a line
+    that begins with the word copyright goes in the canonical form wherever it stands."""
+    out = {_digest(text): name for name, texts in known.items() for text in texts}
+    for name, texts in known.items():
+        for text in texts:
+            if len(text) < 200:
+                continue
+            paragraphs = text.split("\n\n")
+            widths = ["\n\n".join(textwrap.fill(p, width) for p in paragraphs) for width in range(60, 101)]
+            for title in ["", *TITLES.get(name, [])]:
+                out |= {_digest(f"{title}\n\n{body}"): name for body in {text, *widths}}
+    return out | (WHOLE if known is KNOWN else {})
 
 
 def scanned(docs: DataFrame, known: dict[str, list[str]] | None = None) -> DataFrame:
