@@ -122,9 +122,8 @@ def _not_letters() -> np.ndarray:
 SEPARATORS = {"space": _spaces, "punctuation": _not_letters}
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: str = "space"):
-    """(hash of each word with A-Z in lower case, its text's row, its first byte, the byte after it), in order."""
-    lowered = data if not len(data) else per_process("lowered", _lowered)[data]
+def _edges(data: np.ndarray, offsets: np.ndarray, separators: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether a byte is in a word, first byte of each word, the byte after it)."""
     gap = per_process(separators, SEPARATORS[separators])[data]
     begins = np.zeros(len(data) + 1, dtype=bool)
     begins[offsets] = True
@@ -133,12 +132,30 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: str = "space"):
     first[1:] &= gap[:-1] | begins[1 : len(data)]
     last = inside.copy()
     last[:-1] &= gap[1:] | begins[1 : len(data)]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return inside, np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, separators: str = "space"):
+    """(hash of each word with A-Z in lower case, its text's row, its first byte, the byte after it), in order."""
+    lowered = data if not len(data) else per_process("lowered", _lowered)[data]
+    _, starts, ends = _edges(data, offsets, separators)
     hashes = substring_hashes(prefix_sums(lowered), starts, ends)
     rows = np.searchsorted(offsets, starts, "right") - 1
     return hashes, rows, starts, ends
 
 
+def tokens(data: np.ndarray, offsets: np.ndarray, separators: str = "space") -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words with A-Z in lower case, each word's place among them, its text's row), the words in order."""
+    if not len(data):
+        return pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, np.int64)
+    inside, starts, ends = _edges(data, offsets, separators)
+    flat = per_process("lowered", _lowered)[data[inside]]
+    at = np.r_[0, np.cumsum(ends - starts)].astype(np.int64)
+    coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(flat)).dictionary_encode()
+    rows = np.searchsorted(offsets, starts, "right") - 1
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), rows
+
+
 def grams(hashes: np.ndarray, rows: np.ndarray, n: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
     """(hash, index of the first word) of all ``n`` consecutive words of one text; with ``short``, texts with
     fewer words give their whole sequence as one."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueops.llm import chat, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
+from venueops.llm import chat, lexical, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hash_tree": op1_hash_tree,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_windows": op8_chat_windows,
         "op9_string_tiling": op9_string_tiling,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_stratified_search": op11_stratified_search,
     }
 
 
@@ -120,7 +125,30 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d
 FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON node = d.doc_id
 """
 
+# Every document's score for every item that shares a term with it.
+_OP11 = """
+WITH terms AS (
+    SELECT kind, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark)),
+lengths AS (SELECT id AS doc_id, count(*) AS n FROM terms WHERE kind = 'd' GROUP BY id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+strata AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM lengths, totals),
+asked AS (SELECT DISTINCT id AS item_id, term FROM terms WHERE kind = 'i'),
+postings AS (
+    SELECT id AS doc_id, term, count(*) AS tf FROM terms WHERE kind = 'd' AND term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+    FROM postings, totals GROUP BY term),
+scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN strata USING (doc_id) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Sharding hashes, tokens, compression, byte spans, windows and tilings are beyond SQL; see the tests."""
-    return {"op5_licence_digests": licences.sql(), "op7_collision_counting": _OP7, "op10_jaccard_join": _OP10}
+    return {"op5_licence_digests": licences.sql(), "op7_collision_counting": _OP7, "op10_jaccard_join": _OP10, "op11_stratified_search": _OP11}
