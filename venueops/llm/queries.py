@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueops.llm import chat, lexical, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
+from venueops.llm import alignment, chat, lexical, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hash_tree": op1_hash_tree,
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_string_tiling": op9_string_tiling,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_stratified_search": op11_stratified_search,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 

@@ -16,7 +16,7 @@ from venueops.llm import kernel as K
 SEPARATOR = 0
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable stand-ins for bytes that byte-level vocabularies are written in."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     out = {chr(b): b for b in plain}
@@ -34,7 +34,7 @@ class Vocabulary:
     def __init__(self, content: str):
         import tiktoken
 
-        letters = _byte_letters()
+        letters = byte_letters()
         found = json.loads(content)
         added = {x["content"]: x["id"] for x in found.get("added_tokens", [])}
         ranks = {
