@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venueops.llm import alignment, chat, lexical, licences, packing, repeats, setjoin, shards, tiling, token_bins, toxicity, vectors
+from venueops.llm import (
+    alignment,
+    chat,
+    lexical,
+    licences,
+    packing,
+    repeats,
+    setjoin,
+    shards,
+    tiling,
+    token_bins,
+    toxicity,
+    urls,
+    vectors,
+)
+from venueops.llm.common import checkpointed
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +81,18 @@ def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
 
+# Rules with their verdicts, and words that name kinds of sites to block.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+SUSPECTS = "ads adult betting bets casino escort gambling lottery pills poker porn spam viagra warez xxx".split()
+
+
+def op12_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(list(URL_RULES.items()), "rule string, verdict string")
+    counts = checkpointed(urls.word_counts(pages.select(F.col("html").alias("text"))))
+    return urls.judged(pages, rules, urls.labelled_by(pages, tuple(SUSPECTS)), counts)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_string_tiling": op9_string_tiling,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_stratified_search": op11_stratified_search,
+        "op12_url_words": op12_url_words,
         "op13_token_alignment": op13_token_alignment,
     }
 
