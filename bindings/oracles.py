@@ -599,6 +599,15 @@ def oracle_sql() -> dict[str, str]:
             WHERE r.event_type <> 'purchase'
             GROUP BY r.id, r.table_id, r.start_at, r.end_at""",
         ),
+        "conflict_rows": _with(
+            "bookings_v",
+            f"""
+            SELECT r.id AS request_id, e.id AS reservation_id, e.table_id, strftime(e.start_at, {_STAMP}) AS start_at,
+                   strftime(e.end_at, {_STAMP}) AS end_at
+            FROM bookings_v r JOIN bookings_v e
+              ON e.table_id = r.table_id AND e.start_at < r.end_at AND r.start_at < e.end_at
+            WHERE r.event_type <> 'purchase' AND e.event_type = 'purchase'""",
+        ),
         "admit_reservations": _with(
             "bookings_v",
             """

@@ -258,6 +258,14 @@ def reservation_conflicts(v: Venue) -> DataFrame:
     return bookings.reservation_conflicts(requests, v.held_bookings)
 
 
+def conflict_rows(v: Venue) -> DataFrame:
+    requests = v.booking_requests.select("request_id", "table_id", "start_at", "end_at")
+    held = v.held_bookings.select("id", "table_id", "start_at", "end_at")
+    return bookings.conflict_rows(requests, held).select(
+        "request_id", F.col("id").alias("reservation_id"), "table_id", "start_at", "end_at"
+    )
+
+
 def admit_reservations(v: Venue) -> DataFrame:
     decided = bookings.admit_reservations(v.booking_requests, v.held_bookings, v.rooms)
     return decided.select("request_id", "table_id", "accepted")
@@ -391,6 +399,7 @@ _ALL = {
     "payment_report": payment_report,
     "loyalty_report": loyalty_report,
     "reservation_conflicts": reservation_conflicts,
+    "conflict_rows": conflict_rows,
     "admit_reservations": admit_reservations,
     "reservation_confirmations": reservation_confirmations,
     "enumerate_routes": enumerate_routes,

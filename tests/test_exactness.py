@@ -83,8 +83,9 @@ def _tier_of(spent):
     return max(reached)[1] if reached else None
 
 
-@pytest.mark.parametrize("scale", [2, 4])
-def test_tier_lookup(spark, many_partitions, scale):
+@pytest.mark.parametrize("scale, limit", [(2, 4096), (4, 4096), (2, 4), (4, 3)])
+def test_tier_lookup(spark, many_partitions, monkeypatch, scale, limit):
+    monkeypatch.setattr(loyalty, "TIERS_IN_ARRAY", limit)
     rng = random.Random(3)
     spent = [Decimal(rng.choice(["0", "9.99", "10", "99.99", "100", "499.99", "500", "9999", *["9.996"] * (scale > 2)])) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(spent)), f"id int, s decimal(18,{scale})")
@@ -92,6 +93,19 @@ def test_tier_lookup(spark, many_partitions, scale):
     assert found == {i: _tier_of(s) for i, s in enumerate(spent)}
 
 
+def test_many_tiers_and_rows_of_every_kind(spark):
+    """All counts of thresholds around powers of two; nulls, equal thresholds, doubles beside decimals."""
+    amounts = [None, -1.0, 0.0, 0.5, *range(1, 20), 1e9]
+    df = spark.createDataFrame(list(enumerate(map(lambda x: None if x is None else float(x), amounts))), "id int, s double")
+    for n in (0, 1, 2, 3, 4, 7, 8, 9, 17):
+        tiers = [(i, Decimal(i // 2)) for i in range(n)] + [(99, None)]
+        tier_df = spark.createDataFrame(tiers, "id int, min_spent decimal(10,2)")
+        found = {r.id: r.reached_tier_id for r in loyalty.tier_reached(df, "s", tier_df, "id").collect()}
+        for i, s in enumerate(amounts):
+            reached = [(m, t) for t, m in tiers if m is not None and s is not None and m <= s]
+            assert found[i] == (max(reached)[1] if reached else None)
+
+
 def test_cashback_of_a_batch_equals_closing_one_by_one(spark, many_partitions):
     rng = random.Random(11)
     orders = [
@@ -176,11 +190,80 @@ def test_conflict_counts_equal_comparing_all_pairs(spark, many_partitions):
     assert {r.request_id: r.conflicts for r in found} == {
         r[0]: sum(_meet(r, h) for h in held) for r in requests
     }
+    rows = bookings.conflict_rows(
+        spark.createDataFrame(requests, SPAN),
+        spark.createDataFrame(held, SPAN).withColumnRenamed("request_id", "id"),
+    )
+    assert rows.columns == ["request_id", "id", "table_id", "start_at", "end_at", "arrival"]
+    assert sorted((r["request_id"], r["id"]) for r in rows.collect()) == sorted(
+        (r[0], h[0]) for r in requests for h in held if _meet(r, h)
+    )
+
+
+def test_conflict_rows_of_odd_spans(spark):
+    """Spans of no length, backward ones, nulls, one that lasts months; a request_id in the reservations."""
+    at = [None, *(DAY + timedelta(hours=h) for h in (0, 1, 2, 30, 3000))]
+    spans = [(t, a, b) for t in (1, None) for a in at for b in at]
+    rows = [(i, *x, 0) for i, x in enumerate(spans)]
+    df = spark.createDataFrame(rows, SPAN)
+    found = bookings.conflict_rows(df, df.withColumn("id", F.col("request_id"))).collect()
+    whole = [r for r in rows if None not in r]
+    assert sorted((r["request_id"], r["id"]) for r in found) == sorted((a[0], b[0]) for a in whole for b in whole if _meet(a, b))
+    none = df.limit(0)
+    assert bookings.conflict_rows(none, none.withColumn("id", F.col("request_id"))).count() == 0
+
+
+def _first_come(requests):
+    taken, want = {}, set()
+    for request in sorted(requests, key=lambda r: (r[4], r[0])):
+        if not any(_meet(request, t) for t in taken.setdefault(request[1], [])):
+            taken[request[1]].append(request)
+            want.add(request[0])
+    return want
+
+
+@pytest.mark.parametrize("rows, seed, longest", [(5, 1, 5), (40, 2, 60), (7, 3, 200), (60, 4, 1)])
+def test_admission_over_pieces(spark, monkeypatch, rows, seed, longest):
+    """Short and very long spans, cut into pieces of a few requests."""
+    monkeypatch.setattr(bookings, "PIECE_ROWS", rows)
+    requests = _spans(300, seed, longest, tables=4)
+    requests += [(1000 + i, 1, DAY + timedelta(hours=3 * i), DAY + timedelta(hours=3 * i - 2), i) for i in range(10)]  # backwards
+    found, _ = bookings.first_come(spark.createDataFrame(requests, SPAN))
+    assert {r.request_id for r in found.collect()} == _first_come(requests)
+
+
+@pytest.mark.parametrize("order", ["as they start", "any"])
+def test_a_long_chain_takes_few_rounds(spark, order):
+    """100,000 requests of one table, each meeting the one before and the one after."""
+    n = 100_000
+    arrival = list(range(n))
+    if order == "any":
+        random.Random(5).shuffle(arrival)
+    df = spark.createDataFrame(list(enumerate(arrival)), "request_id int, arrival int").selectExpr(
+        "request_id", "1 as table_id", "timestamp_ntz'2026-04-20 00:00:00' + make_dt_interval(0, 0, request_id) as start_at",
+        "timestamp_ntz'2026-04-20 00:00:00' + make_dt_interval(0, 0, request_id, 90) as end_at", "arrival",
+    )
+    found, rounds = bookings.first_come(df)
+    taken, want = set(), []
+    for request in sorted(range(n), key=arrival.__getitem__):
+        if request - 1 not in taken and request + 1 not in taken:
+            taken.add(request)
+            want.append(request)
+    assert rounds <= 5
+    assert sorted(r.request_id for r in found.collect()) == sorted(want)
+
+
+def test_requests_without_a_span_are_accepted(spark):
+    rows = [(1, 1, None, DAY, 1), (2, 1, DAY, None, 2), (3, None, DAY, DAY, 3), (4, 1, DAY, DAY + timedelta(hours=1), None)]
+    found, rounds = bookings.first_come(spark.createDataFrame([*rows, (5, 1, DAY, DAY + timedelta(hours=2), 0)], SPAN))
+    assert {r.request_id for r in found.collect()} == {1, 2, 3, 4} and rounds == 1
+    nothing, rounds = bookings.first_come(spark.createDataFrame([], SPAN))
+    assert nothing.count() == 0 and rounds == 0
 
 
-@pytest.mark.parametrize("limit", [1000, 7])
+@pytest.mark.parametrize("limit", [50_000, 7])
 def test_admitting_a_batch_equals_admitting_one_by_one(spark, many_partitions, monkeypatch, limit):
-    monkeypatch.setattr(bookings, "CLUSTER_LIMIT", limit)
+    monkeypatch.setattr(bookings, "PIECE_ROWS", limit)
     requests, held = _spans(400, 3, 5), _spans(15, 4, 3)
     open_tables = {1, 2, 3, 5}
     taken, want = list(held), set()

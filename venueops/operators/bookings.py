@@ -6,18 +6,25 @@ timestamps, so a booking past midnight also meets those of the next day.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import takewhile
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from venueops.functions.columns import Moment, full_name, keyed, moment, span_end
-from venueops.functions.ordered import pieces, running, running_in
+from venueops.functions.ordered import numbered, running
 from venueops.plans.session import checkpointed
 
 # Names of the statuses of orders that no longer hold a table.
 CLOSED = ("Завершён", "Отменён")
 
-# requests of one cluster that are decided in one task, and in one round
-CLUSTER_LIMIT = 1000
+PIECE_ROWS = 50_000  # requests that are decided by one task
+ACCEPTED, REJECTED, WAITING = 1, 0, -1
 
 
 def with_span(reservations: DataFrame) -> DataFrame:
@@ -92,6 +99,43 @@ def reservation_conflicts(requests: DataFrame, existing: DataFrame) -> DataFrame
     )
 
 
+def conflict_rows(requests: DataFrame, existing: DataFrame) -> DataFrame:
+    """Each request's conflicts as rows: ``request_id`` and the columns of the existing reservation that overlaps it.
+
+    The rule is that of :func:`reservation_conflicts`, whose counts these rows add up to. Spans are cut into time
+    buckets as wide as spans are long on average, so that a popular table is spread over its buckets; a pair comes out
+    once, in the bucket where the later of the two starts. Rows without a table, a start or an end meet nothing. A
+    ``request_id`` among the columns of ``existing`` is replaced.
+    """
+    known = F.col("table_id").isNotNull() & F.col("start_at").isNotNull() & F.col("end_at").isNotNull()
+
+    def second(column: str):  # of a timestamp without zone
+        day, *parts = F.unix_date(F.col(column).cast("date")), F.hour(column), F.minute(column), F.second(column)
+        return day.cast("long") * 86400 + parts[0] * 3600 + parts[1] * 60 + parts[2]
+
+    length = (second("end_at") - second("start_at")).alias("s")
+    lengths = requests.filter(known).select(length).unionByName(existing.filter(known).select(length))
+    mean = lengths.filter("s > 0").agg(F.avg("s").alias("s")).first()["s"]
+    width = max(60, int(mean or 0))
+
+    def bucket(column: str):
+        return F.floor(second(column) / width).cast("long")
+
+    def spread(df: DataFrame):
+        until = F.greatest(bucket("start_at"), bucket("end_at"))
+        return df.filter(known).withColumn("_bucket", F.explode(F.sequence(bucket("start_at"), until)))
+
+    asked = spread(requests.select("request_id", "table_id", "start_at", "end_at"))
+    asked = asked.withColumnsRenamed({"start_at": "_from", "end_at": "_to"})
+    held = spread(existing.drop("request_id"))
+    later = F.greatest(bucket("_from"), bucket("start_at"))
+    return (
+        asked.join(held, ["table_id", "_bucket"])
+        .filter((F.col("start_at") < F.col("_to")) & (F.col("end_at") > F.col("_from")) & (F.col("_bucket") == later))
+        .select("request_id", *[c for c in existing.columns if c != "request_id"])
+    )
+
+
 def _by_pairs(requests: DataFrame, existing: DataFrame) -> DataFrame:
     spans = existing.select("table_id", F.col("start_at").alias("_from"), F.col("end_at").alias("_to"))
     met = requests.join(spans, "table_id").filter((F.col("_from") < F.col("end_at")) & (F.col("_to") > F.col("start_at")))
@@ -156,73 +200,170 @@ def admit_reservations(requests: DataFrame, existing: DataFrame, tables: DataFra
     open_tables = tables.filter("is_available").select(F.col("id").alias("table_id"))
     possible = requests.join(open_tables, "table_id", "left_semi")
     free = reservation_conflicts(possible, existing).filter("conflicts = 0")
-    accepted = _first_come(
-        free.select("request_id", "table_id", "start_at", "end_at", "arrival")
-    ).select("request_id", F.lit(True).alias("accepted"))
+    accepted, _ = first_come(free.select("request_id", "table_id", "start_at", "end_at", "arrival"))
+    accepted = accepted.withColumn("accepted", F.lit(True))
     return requests.join(accepted, "request_id", "left").select(
         *requests.columns, F.coalesce("accepted", F.lit(False)).alias("accepted")
     )
 
 
-def _first_come(requests: DataFrame) -> DataFrame:
-    """The requests accepted by first come, first served among themselves.
+def first_come(requests: DataFrame) -> tuple[DataFrame, int]:
+    """(``request_id`` of the accepted requests, number of rounds), decided by local precedence.
+
+    A request is decided once all requests are that arrived before it and overlap it. The tables' time lines are cut
+    into pieces of about ``PIECE_ROWS`` requests, wherever a table is that popular. A task decides a piece in order
+    of arrival; what could meet an earlier request of another piece waits, as does what meets a waiting one.
+    The next round cuts only the waiting requests, which are few unless overlaps run through many pieces in
+    order of arrival. The accepted spans that reach into later pieces, at most one for each cut, are told to them.
 
-    Requests can only get in each other's way inside a cluster of overlapping spans, so each
-    cluster is decided on its own, in one task while it is small. Of a larger cluster only the
-    earliest arrivals are decided; then what they displace is dropped, and the rest falls apart
-    into new clusters for the next round. Each round decides every cluster's first arrivals for
-    good, because nothing that comes later can change them.
+    Requests without a table, a start or an end meet nothing and are accepted. Spans without a length, or that end
+    before they start, meet what contains them.
     """
-    accepted = []
-    waiting = requests
-    while True:
-        clustered = checkpointed(_clusters(waiting))
-        sizes = clustered.groupBy("table_id", "cluster").count()
-        if sizes.filter(F.col("count") > CLUSTER_LIMIT).isEmpty():
-            accepted.append(_in_turn(clustered))
-            break
-        by_arrival = Window.partitionBy("table_id", "cluster").orderBy("arrival", "request_id")
-        first = clustered.withColumn("turn", F.row_number().over(by_arrival)).filter(
-            F.col("turn") <= CLUSTER_LIMIT
-        )
-        decided = checkpointed(first.drop("turn"))
-        taken = checkpointed(_in_turn(decided))
-        accepted.append(taken)
-        later = waiting.join(decided.select("request_id"), "request_id", "left_anti")
-        held = taken.withColumnRenamed("request_id", "id")
-        still_free = reservation_conflicts(later, held).filter("conflicts = 0")
-        waiting = checkpointed(still_free.drop("conflicts"))
+    spark = requests.sparkSession
+    known = F.col("table_id").isNotNull() & F.col("start_at").isNotNull() & F.col("end_at").isNotNull()
+    accepted = [requests.filter(~known).select("request_id")]
+    waiting = numbered(requests.filter(known), ["arrival", "request_id"], "turn").select(
+        "request_id", "table_id", "start_at", "end_at", "turn"
+    )
+    reached: list[tuple] = []  # spans accepted in the round before that reach into later pieces
+    rounds, number = 0, waiting.count()
+    while number:
+        rounds += 1
+        count = -(-number // PIECE_ROWS)
+        ranged = waiting.repartitionByRange(count, "table_id", "start_at", "end_at", "turn")
+        cut = checkpointed(ranged.withColumn("piece", F.spark_partition_id()))
+        edges = _edges(cut) if count > 1 else None
+        decided = checkpointed(_decided(cut, count, edges, reached))
+        taken = decided.filter(F.col("status") == ACCEPTED)
+        accepted.append(taken.select("request_id"))
+        waiting = decided.filter(F.col("status") == WAITING)
+        if edges is not None:
+            reached = [tuple(r) for r in taken.filter("crosses").select("table_id", "start_at", "end_at").collect()]
+            met = _met_beyond(waiting.filter("crosses"), taken, edges)
+            waiting = checkpointed(waiting.join(met, "request_id", "left_anti"))
+        waiting = waiting.drop("status", "crosses", "piece")
+        number = waiting.count()
     result = accepted[0]
     for more in accepted[1:]:
         result = result.unionByName(more)
-    return result
-
-
-def _clusters(requests: DataFrame) -> DataFrame:
-    """Adds ``cluster``: requests whose spans hang together, named by the first start."""
-    by, order = ["table_id"], ["start_at", "end_at", "request_id"]
-    cut = pieces(requests, by, order)
-    ends = running_in(cut, by, order, {"reached": ("max", "end_at")}, inclusive=False)
-    opens = F.when(F.col("reached").isNull() | (F.col("start_at") >= F.col("reached")), F.col("start_at"))
-    marked = ends.withColumn("opens", opens)
-    named = running_in(marked, by, order, {"cluster": ("max", "opens")})
-    return named.select(*requests.columns, "cluster")
-
-
-def _in_turn(clustered: DataFrame) -> DataFrame:
-    """Accepts each cluster's requests in order of arrival; a cluster here is small."""
-    queue = F.sort_array(F.collect_list(F.struct("arrival", "request_id", "start_at", "end_at")))
-    taken = F.expr(
-        """aggregate(queue, slice(queue, 1, 0), (held, r) ->
-             if(exists(held, h -> h.start_at < r.end_at and r.start_at < h.end_at),
-                held, array_append(held, r)))"""
-    )
-    return (
-        clustered.groupBy("table_id", "cluster")
-        .agg(queue.alias("queue"))
-        .select("table_id", F.explode(taken).alias("r"))
-        .select("r.request_id", "table_id", "r.start_at", "r.end_at", "r.arrival")
+    return result, rounds
+
+
+def _edges(cut: DataFrame) -> DataFrame:
+    """For each piece of a table that has several: its first start and turn, the next piece's first start, and of the
+    spans that reach there the first turn and the last end. A cut lies in one table, so there are at most two a piece."""
+    spread = cut.groupBy("table_id", "piece").agg(F.min("start_at").alias("first"), F.min("turn").alias("turn"))
+    by_piece = Window.partitionBy("table_id").orderBy("piece")
+    spread = spread.withColumns(
+        {"next": F.lead("first").over(by_piece), "before": F.lag("first").over(by_piece)}
+    ).filter("next is not null or before is not null")
+    spread = checkpointed(spread.drop("before"))
+    crossing = (
+        cut.join(F.broadcast(spread.select("table_id", "piece", "next")), ["table_id", "piece"])
+        .filter(F.col("end_at") > F.col("next"))
+        .groupBy("table_id", "piece")
+        .agg(F.min("turn").alias("cross_turn"), F.max("end_at").alias("reach"))
     )
+    return checkpointed(spread.join(crossing, ["table_id", "piece"], "left"))
+
+
+def _met_beyond(crossing: DataFrame, taken: DataFrame, edges: DataFrame) -> DataFrame:
+    """``request_id`` of the waiting spans ``crossing`` into later pieces that meet a span accepted there."""
+    reach = crossing.groupBy("table_id", "piece").agg(F.max("end_at").alias("until"))  # a row per cut at most
+    beyond = edges.join(reach, ["table_id", "piece"]).select(F.col("table_id").alias("of"), "next", "until")
+    there = (F.col("table_id") == F.col("of")) & (F.col("start_at") >= F.col("next")) & (F.col("start_at") < F.col("until"))
+    near = taken.join(F.broadcast(beyond), there, "left_semi").withColumnRenamed("request_id", "id")
+    return reservation_conflicts(crossing, near).filter("conflicts > 0").select("request_id")
+
+
+class _Spans:
+    """Spans that only grow in number, asked whether one of them meets another span."""
+
+    def __init__(self, ends: list):
+        self.ends = sorted(set(ends))
+        # the least start among the spans of the greatest ends: a tree of minima over ends, greatest first
+        self.least: list = [None] * (len(self.ends) + 1)
+
+    def add(self, start, end) -> None:
+        k = len(self.ends) - bisect_left(self.ends, end)
+        while k < len(self.least):
+            if self.least[k] is None or start < self.least[k]:
+                self.least[k] = start
+            k += k & -k
+
+    def meets(self, start, end) -> bool:
+        k = len(self.ends) - bisect_right(self.ends, start)
+        while k > 0:
+            if self.least[k] is not None and self.least[k] < end:
+                return True
+            k -= k & -k
+        return False
+
+
+def _decided(cut: DataFrame, count: int, edges: DataFrame | None, reached: list[tuple]) -> DataFrame:
+    """``cut`` with ``status`` and whether a span ``crosses`` into a later piece of its table."""
+    known: dict = {}  # of each table that several pieces share: their edges, in order
+    for row in edges.orderBy("piece").collect() if edges is not None else []:
+        known.setdefault(row["table_id"], []).append(row.asDict())
+    told: dict = {}
+    for table, start, end in reached:
+        told.setdefault(table, []).append((start, end))
+
+    def decide(table, piece, rows: list[tuple]) -> Iterator[tuple]:
+        begin = min(r[1] for r in rows)
+        mine = known.get(table, [])
+        earlier = [e for e in mine if e["piece"] < piece and e["reach"] is not None and e["reach"] > begin]
+        later = [e for e in mine if e["piece"] > piece]
+        border = later[0]["first"] if later else None
+        held = told.get(table, [])
+        ends = [r[2] for r in rows] + [e for _, e in held]
+        taken, open_ = _Spans(ends), _Spans(ends)
+        for start, end in held:
+            taken.add(start, end)
+        for request, start, end, turn in rows:
+            crosses = border is not None and end > border
+            if taken.meets(start, end):
+                status = REJECTED
+            elif (
+                open_.meets(start, end)
+                or any(e["reach"] > start and e["cross_turn"] < turn for e in earlier)
+                or (crosses and any(e["turn"] < turn for e in takewhile(lambda e: e["first"] < end, later)))
+            ):
+                status = WAITING
+                open_.add(start, end)
+            else:
+                status = ACCEPTED
+                taken.add(start, end)
+            yield request, table, start, end, turn, piece, status, crosses
+
+    columns = ["request_id", "table_id", "start_at", "end_at", "turn", "piece"]
+    placed = cut.select(*columns).repartition(count, "piece").sortWithinPartitions("piece", "table_id", "turn")
+    schema = StructType([*placed.schema.fields]).add("status", "integer").add("crosses", "boolean")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(schema)
+
+        def packed(found: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
+
+        group, rows, found = None, [], []
+        for batch in batches:
+            for request, table, start, end, turn, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != (table, piece):
+                    if rows:
+                        found += decide(*group, rows)
+                    if len(found) >= 10_000:
+                        yield packed(found)
+                        found = []
+                    group, rows = (table, piece), []
+                rows.append((request, start, end, turn))
+        if rows:
+            found += decide(*group, rows)
+        if found:
+            yield packed(found)
+
+    return placed.mapInArrow(each, schema)
 
 
 def reservation_confirmations(reservations: DataFrame, tables: DataFrame, employees: DataFrame) -> DataFrame:

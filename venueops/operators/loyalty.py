@@ -8,19 +8,39 @@ from pyspark.sql import functions as F
 from venueops.functions.columns import keyed
 from venueops.functions.ordered import running
 
+TIERS_IN_ARRAY = 4096  # thresholds that a row searches in one array
+
 
 def tier_reached(df: DataFrame, spent: str, tiers: DataFrame, key: str) -> DataFrame:
     """Adds ``reached_tier_id``: the tier with the greatest ``min_spent`` not above ``spent``.
 
     NULL where no threshold is reached; of equal thresholds the greatest id counts, and a NULL threshold is never
-    reached. Amounts are compared as they are, in the wider of both types. ``key`` is unique in ``df``. Thresholds
-    and rows are merged in order of amount, so that the number of tiers does not matter.
+    reached. Amounts are compared as they are, in the wider of both types. ``key`` is unique in ``df``.
+
+    Up to ``TIERS_IN_ARRAY`` thresholds are one sorted array, the value of a scalar subquery, that each row searches
+    by halving, so that ``df`` is neither moved nor written. More of them are merged with the rows in order of amount.
     """
-    thresholds = tiers.filter("min_spent is not null").select(
-        F.col("min_spent").alias("_amount"),
-        F.lit(0).alias("_kind"),
-        F.col("id").cast("string").alias("_tie"),
-        F.struct(F.col("min_spent").alias("at"), F.col("id").alias("tier")).alias("_tier"),
+    thresholds = tiers.filter("min_spent is not null").select(F.struct(F.col("min_spent").alias("at"), F.col("id").alias("tier")).alias("_tier"))
+    count = thresholds.limit(TIERS_IN_ARRAY + 1).count()
+    if count > TIERS_IN_ARRAY:
+        return _tier_by_merge(df, spent, thresholds, key)
+    ladder = thresholds.agg(F.sort_array(F.collect_list("_tier")).alias("ladder"))
+    # how many thresholds are reached: from halves to single steps, each taken if the threshold it leads to is reached
+    steps = [1 << k for k in reversed(range(count.bit_length()))]
+
+    def step(reached: Column, width: Column) -> Column:
+        there = F.get("_ladder", reached + width - 1)["at"] <= F.col(spent)
+        return F.when((reached + width <= count) & there, reached + width).otherwise(reached)
+
+    reached = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if steps else F.lit(0)
+    return df.withColumn("_ladder", ladder.scalar()).select(
+        *df.columns, F.get("_ladder", reached - 1)["tier"].alias("reached_tier_id")
+    )
+
+
+def _tier_by_merge(df: DataFrame, spent: str, thresholds: DataFrame, key: str) -> DataFrame:
+    steps = thresholds.select(
+        F.col("_tier.at").alias("_amount"), F.lit(0).alias("_kind"), F.col("_tier.tier").cast("string").alias("_tie"), "_tier"
     )
     asked = df.select(
         F.col(spent).alias("_amount"),
@@ -28,7 +48,7 @@ def tier_reached(df: DataFrame, spent: str, tiers: DataFrame, key: str) -> DataF
         F.col(key).cast("string").alias("_tie"),
         F.struct(*df.columns).alias("_row"),
     )
-    merged = thresholds.unionByName(asked, allowMissingColumns=True)
+    merged = steps.unionByName(asked, allowMissingColumns=True)
     met = running(merged, [], ["_amount", "_kind", "_tie"], {"_best": ("max", "_tier")})
     reached = F.when(F.col("_amount").isNotNull(), F.col("_best.tier"))
     return met.filter("_kind = 1").select("_row.*", reached.alias("reached_tier_id"))
