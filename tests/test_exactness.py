@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from bindings.views import Venue
 from venueops.functions.ordered import PIECE, numbered, pieces, running
 from venueops.operators import bookings, keys, loyalty, reports, routes
 
@@ -292,8 +293,10 @@ def _all_paths(roads, start, end):
     return found
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_routes_in_a_network_with_circles_and_dead_ends(spark, seed):
+@pytest.mark.parametrize("seed, hops, beam", [(0, 4, 1000), (1, 1, 1), (2, 3, 2), (3, 4, 1)])
+def test_routes_in_a_network_with_circles_and_dead_ends(spark, monkeypatch, seed, hops, beam):
+    for name, value in {"HOPS": hops, "HOPS_BACK": min(hops, 2), "BEAM": beam}.items():
+        monkeypatch.setattr(routes, name, value)
     rng = random.Random(seed)
     # every name is part of another one, which must not matter
     cities = [(i, "X" * (i + 1), *(rng.randint(0, 12) for _ in range(3))) for i in range(9)]
@@ -321,6 +324,15 @@ def test_routes_in_a_network_with_circles_and_dead_ends(spark, seed):
     assert steps.count() == sum(map(len, paths))
 
 
+def test_bounds_cut_at_least_half_of_the_open_routes(spark):
+    v = Venue(spark, "/root/testdata/sf0.01")
+    seen = {"all": [], "best": []}
+    routes.enumerate_routes(v.cities, v.roads, "depot", "gate", lambda hop, n: seen["all"].append((hop, n["open"])))
+    routes.best_routes(v.cities, v.roads, "depot", "gate", lambda hop, n: seen["best"].append((hop, n["open"])))
+    everything, cut = (sum(n for _, n in seen[x]) for x in ("all", "best"))
+    assert seen["all"][-1][1] == 0 and 2 * cut <= everything
+
+
 def test_a_route_that_is_already_there(spark):
     cities = spark.createDataFrame([(1, "a", 1, 2, 3)], "id int, name string, rubies int, emeralds int, sapphires int")
     roads = spark.createDataFrame([(1, 1)], "from_city_id int, to_city_id int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,6 +30,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return written(df)[0]
 
 
+def observed(df: DataFrame, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """As :func:`checkpointed`, with aggregates over its rows that the write itself computes."""
+    watch = Observation()
+    table = checkpointed(df.observe(watch, *[column.alias(name) for name, column in aggregates.items()]))
+    return table, watch.get
+
+
 def written(df: DataFrame) -> tuple[DataFrame, str]:
     """As :func:`checkpointed`, with the table's path for :func:`removed`."""
     path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
