@@ -14,11 +14,11 @@ to a probability by a logistic fit on samples that the dictionaries have not see
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ SPAN = 8  # words of a wide window, one starting every half of it
 PHRASES = (2, 3)
 SURPRISE = 12  # nats: exp(12) is about the number of words and phrases that are looked at
 LEVEL = 3
+PIECE = 256  # bytes of an ordinary sample that the dictionary is trained on; chosen on a split of the rows not held out
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 
@@ -60,32 +61,21 @@ class Model:
         most = max(map(len, self.toxic))
         return [one(self.ordinary + bytes(most - len(x)) + x) for x in (bytes(most), *self.toxic)]
 
-    def features(self, data: np.ndarray, offsets: np.ndarray, tools: list, memo: dict[int, list[int]]) -> np.ndarray:
+    def features(self, data: np.ndarray, offsets: np.ndarray, tools: list, memo: dict[str, list[int]]) -> np.ndarray:
         """A row for each text of the slice."""
         n = len(offsets) - 1
-        hashes, rows, starts, ends = K.words(data, offsets, "punctuation")
+        distinct, codes, rows = K.tokens(data, offsets, "punctuation")
         each = 4 + len(THRESHOLDS)
         out = np.zeros((n, 2 * len(self.toxic) * each + 1))
-        if not len(hashes):
+        if not len(codes):
             return out
-        lowered = data.tobytes().translate(LOWER)
-        known, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        tokens = [lowered[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        joined = b" " + b" ".join(tokens) + b" "
-        at = np.r_[0, np.cumsum(ends - starts + 1)]
+        names = distinct.to_pylist()
+        spelled = [x.encode() for x in names]
         carrier = self.ordinary[-40:]
-        plain, *marked = (tool.compress for tool in tools)
-
-        def gains_of(window: bytes) -> list[int]:
-            window = carrier + window
-            length = len(plain(window))
-            return [length - len(tool(window)) for tool in marked]
-
-        gains = []
-        for name, k in zip(known.tolist(), first.tolist(), strict=True):
-            if (found := memo.get(name)) is None:
-                found = memo[name] = gains_of(b" " + tokens[k] + b" ")
-            gains.append(found)
+        unseen = [k for k, x in enumerate(names) if x not in memo]
+        fresh = _gains([carrier + b" " + spelled[k] + b" " for k in unseen], tools)
+        memo.update(zip([names[k] for k in unseen], fresh.tolist(), strict=True))
+        single = np.array([memo[x] for x in names], dtype=np.float64)[codes]
         if len(memo) > 150_000:  # values can be computed again
             memo.clear()
         count = np.bincount(rows, minlength=n)
@@ -94,9 +84,12 @@ class Model:
         place = np.arange(len(rows)) - begin[rows]
         heads = np.flatnonzero((place % (SPAN // 2) == 0) & ((place == 0) | (place + SPAN // 2 < count[rows])))
         tails = np.minimum(heads + SPAN, (begin + count)[rows[heads]])
-        wide = [gains_of(joined[a : b + 1]) for a, b in zip(at[heads].tolist(), at[tails].tolist(), strict=True)]
+        joined = b" " + b" ".join([spelled[k] for k in codes.tolist()]) + b" "
+        at = np.r_[0, np.cumsum(np.array([len(x) for x in spelled])[codes] + 1)]
+        spans = zip(at[heads].tolist(), at[tails].tolist(), strict=True)
+        wide = _gains([carrier + joined[a : b + 1] for a, b in spans], tools)
         column = 0
-        for owners, values in ((rows, np.array(gains, dtype=np.float64)[inverse]), (rows[heads], np.array(wide, dtype=np.float64))):
+        for owners, values in ((rows, single), (rows[heads], wide.astype(np.float64))):
             for gain in values.T:
                 out[:, column : column + each] = _summary(gain, owners, n)
                 column += each
@@ -120,6 +113,17 @@ class Model:
         self.weights = w
 
 
+def _gains(windows: list[bytes], tools: list) -> np.ndarray:
+    """For each window and each toxic dictionary, by how much it shortens the window beyond the ordinary one."""
+    if not windows:
+        return np.empty((0, len(tools) - 1), dtype=np.int64)
+    sizes = np.array([len(x) for x in windows], dtype="<u8")
+    segments = np.stack([np.cumsum(sizes, dtype="<u8") - sizes, sizes], axis=1).tobytes()
+    flat = zstandard.BufferWithSegments(b"".join(windows), segments)
+    lengths = [np.array([len(x) for x in tool.multi_compress_to_buffer(flat, threads=1)]) for tool in tools]
+    return np.stack([lengths[0] - x for x in lengths[1:]], axis=1)
+
+
 def _summary(gain: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """For each row the mean of its largest one, two and four gains and of all, and how many reach each threshold."""
     out = np.zeros((n, 4 + len(THRESHOLDS)))
@@ -145,66 +149,59 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _beginnings(text: bytes) -> set[bytes]:
-    out = set()
-    for word in set(WORD.findall(text)):
-        out.update(word[:k] for k in range(4, min(len(word), 9) + 1))
-        out.add(word + b" ")
-    return out
-
-
 def _surprise(count, expected):
     """How far ``count`` is beyond what is expected, in nats of a Poisson law; 0 where it is not."""
     count = np.asarray(count, dtype=np.float64)
     return np.where(count > expected, count * np.log(np.maximum(count, 1) / expected) - (count - expected), 0)
 
 
-def _phrase_counts(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(phrases, in how many texts; the phrase at each place, the place's first word)."""
-    values, at = K.grams(hashes, rows, n, short=False)
-    order = np.lexsort((rows[at], values))
-    v, r = values[order], rows[at][order]
-    fresh = np.r_[True, (v[1:] != v[:-1]) | (r[1:] != r[:-1])] if len(v) else np.empty(0, bool)
-    return *np.unique(v[fresh], return_counts=True), values, at
+def _in_texts(rows: np.ndarray, parts: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct parts, in how many of the first ``m`` texts each is, in how many of the others)."""
+    distinct, code = np.unique(parts, return_inverse=True)
+    pairs = np.unique(rows * max(1, len(distinct)) + code)
+    toxic = pairs < m * max(1, len(distinct))
+    counts = (np.bincount(pairs[side] % max(1, len(distinct)), minlength=len(distinct)) for side in (toxic, ~toxic))
+    return distinct, *counts
 
 
 def _telling(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Each toxic text's words and phrases whose frequency among toxic texts is a surprise of ``SURPRISE``."""
+    """Each toxic text's words and phrases whose frequency among toxic texts is a surprise of ``SURPRISE``.
+
+    Words are judged as a whole and by their beginnings of 4 to 9 bytes.
+    """
     m, n = len(toxic), len(ordinary)
-    spread = [Counter(), Counter()]
-    for text in toxic:
-        spread[1].update(_beginnings(text))
-    spread[1] = Counter({part: count for part, count in spread[1].items() if count > 1})
-    for text in ordinary:
-        spread[0].update(part for part in _beginnings(text) if part in spread[1])
-    parts = list(spread[1])
-    expected = m * (np.array([spread[0][x] for x in parts], dtype=np.float64) + 0.5) / n
-    stands_out = _surprise([spread[1][x] for x in parts], expected) >= SURPRISE
-    telling = {x for x, good in zip(parts, stands_out.tolist(), strict=True) if good}
-
-    sides = []
-    for side in (toxic, ordinary):
-        offsets = np.r_[0, np.cumsum([len(x) for x in side])]
-        sides.append((b"".join(side), K.words(np.frombuffer(b"".join(side), dtype=np.uint8), offsets, "punctuation")))
-    (data, (hashes, rows, starts, ends)), (_, (others, their_rows, _, _)) = sides
-    words = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    kept = np.array([w + b" " in telling or any(w[:k] in telling for k in range(4, 10)) for w in words], dtype=bool)
-    for size in PHRASES:
-        phrases, counts, values, at = _phrase_counts(hashes, rows, size)
-        other, other_counts, _, _ = _phrase_counts(others, their_rows, size)
-        if not len(phrases):
-            continue
-        in_ordinary = np.zeros(len(phrases))
-        _, here, there = np.intersect1d(phrases, other, assume_unique=True, return_indices=True)
-        in_ordinary[here] = other_counts[there]
-        good = phrases[_surprise(counts, m * (in_ordinary + 0.5) / n) >= SURPRISE]
-        for first in at[np.isin(values, good)].tolist():
-            kept[first : first + size] = True
+    data = np.frombuffer(b"".join([*toxic, *ordinary]), dtype=np.uint8)
+    distinct, codes, rows = K.tokens(data, np.r_[0, np.cumsum([len(x) for x in (*toxic, *ordinary)])], "punctuation")
+
+    def surprising(owners: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        values, in_toxic, in_ordinary = _in_texts(owners, parts, m)
+        return values[_surprise(in_toxic, m * (in_ordinary + 0.5) / n) >= SURPRISE]
+
+    spelled = distinct.cast(pa.large_binary())
+    sizes = pc.binary_length(spelled).to_numpy()
+    good = np.zeros(len(distinct), dtype=bool)
+    good[surprising(rows, codes)] = True
+    for size in range(4, 10):
+        long = np.flatnonzero(sizes >= size)
+        beginning = np.full(len(distinct), -1, dtype=np.int64)
+        cut = pc.binary_slice(spelled.take(pa.array(long)).cast(pa.binary()), 0, size)
+        beginning[long] = cut.dictionary_encode().indices.to_numpy()
+        part = beginning[codes]
+        here = part >= 0
+        good |= np.isin(beginning, surprising(rows[here], part[here])) & (beginning >= 0)
+    kept = good[codes]
+    phrase = codes
+    for size in range(2, max(PHRASES) + 1):  # a phrase is the one before and the next word, in one text
+        phrase = np.unique(phrase, return_inverse=True)[1][: len(codes) - size + 1] * max(1, len(distinct)) + codes[size - 1 :]
+        whole = rows[size - 1 :] == rows[: len(phrase)]
+        if size in PHRASES:
+            for first in np.flatnonzero(whole & np.isin(phrase, surprising(rows[: len(phrase)][whole], phrase[whole]))).tolist():
+                kept[first : first + size] = True
     out = [b""] * m
     last = -2
-    for k in np.flatnonzero(kept).tolist():
+    for k in np.flatnonzero(kept & (rows < m)).tolist():
         apart = k != last + 1 or rows[k] != rows[last]
-        out[rows[k]] += (b"  " if apart else b" ") + words[k]
+        out[rows[k]] += (b"  " if apart else b" ") + spelled[codes[k]].as_py()
         last = k
     return [x[1:] + b" " for x in out if x]
 
@@ -215,13 +212,12 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
     if len(toxic) < 3 or len(ordinary) < 3:
         return Model(prior)
     learn = [[x for i, x in enumerate(side) if i % 3] for side in (ordinary, toxic)]
+    telling = _dictionary(_telling(learn[1], learn[0]), 16 << 10)
     normal = [[b" " + b" ".join(WORD.findall(x)) + b" " for x in side] for side in learn]
-    pieces = [x[i : i + 64] for x in normal[0] for i in range(0, len(x), 64)]
-    model = Model(
-        prior,
-        _dictionary(pieces, 24 << 10),
-        (_dictionary(normal[1], 16 << 10), _dictionary(_telling(learn[1], learn[0]), 16 << 10)),
-    )
+    del learn
+    pieces = [x[i : i + PIECE] for x in normal[0] for i in range(0, len(x), PIECE)]
+    model = Model(prior, _dictionary(pieces, 24 << 10), (_dictionary(normal[1], 16 << 10), telling))
+    del normal, pieces
     rest = toxic[::3] + ordinary[::3]
     labels = np.r_[np.ones(len(toxic[::3])), np.zeros(len(ordinary[::3]))]
     offsets = np.r_[0, np.cumsum([len(x) for x in rest])]
@@ -252,7 +248,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
             .orderBy("at", "text")
             .limit(most)
         )
-        texts[label] = [r["text"] for r in rows.collect()]
+        texts[label] = rows.select("text").toArrow().column(0).to_pylist()
     return train(texts[1], texts[0], prior)
 
 
