@@ -4,7 +4,8 @@ A batch of texts is one run of UTF-8 bytes with offsets. Everything here works o
 ``SLICE`` bytes at a time, and a text is never cut.
 
 Hashes of substrings are differences of prefix sums: with P[i] the sum of T[byte]·B^t over t < i (mod 2^64),
-the substring [s, e) has (P[e] - P[s])·B^-s, the same wherever it stands.
+the substring [s, e) has (P[e] - P[s])·B^-s, the same wherever it stands. They serve places of fixed length in bytes,
+below the 1,024 bytes from which such sums have known collisions; words are hashed as wholes.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15  # odd
 SLICE = 1 << 18
@@ -87,10 +89,13 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         lo = hi
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    sums = np.empty(len(data) + 1, dtype=U)
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Of bytes, or of 64-bit numbers that stand for words."""
+    if values.dtype == np.uint8:
+        values = byte_values()[values]
+    sums = np.empty(len(values) + 1, dtype=U)
     sums[0] = 0
-    np.cumsum(byte_values()[data] * powers(len(data))[0], out=sums[1:])
+    np.cumsum(values * powers(len(values))[0], out=sums[1:])
     return sums
 
 
@@ -135,25 +140,69 @@ def _edges(data: np.ndarray, offsets: np.ndarray, separators: str) -> tuple[np.n
     return inside, np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: str = "space"):
-    """(hash of each word with A-Z in lower case, its text's row, its first byte, the byte after it), in order."""
-    lowered = data if not len(data) else per_process("lowered", _lowered)[data]
-    _, starts, ends = _edges(data, offsets, separators)
-    hashes = substring_hashes(prefix_sums(lowered), starts, ends)
-    rows = np.searchsorted(offsets, starts, "right") - 1
-    return hashes, rows, starts, ends
-
-
-def tokens(data: np.ndarray, offsets: np.ndarray, separators: str = "space") -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(distinct words with A-Z in lower case, each word's place among them, its text's row), the words in order."""
+def _spelled(data: np.ndarray, offsets: np.ndarray, separators: str):
+    """(distinct words with A-Z in lower case, each word's place among them, its first byte, the byte after it)."""
     if not len(data):
-        return pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
+        return pa.array([], pa.large_string()), none, none, none
     inside, starts, ends = _edges(data, offsets, separators)
     flat = per_process("lowered", _lowered)[data[inside]]
     at = np.r_[0, np.cumsum(ends - starts)].astype(np.int64)
     coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(flat)).dictionary_encode()
-    rows = np.searchsorted(offsets, starts, "right") - 1
-    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), rows
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), starts, ends
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray, separators: str = "space") -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words with A-Z in lower case, each word's place among them, its text's row), the words in order."""
+    distinct, codes, starts, _ = _spelled(data, offsets, separators)
+    return distinct, codes, np.searchsorted(offsets, starts, "right") - 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, separators: str = "space"):
+    """(hash of each word with A-Z in lower case, its text's row, its first byte, the byte after it), in order.
+
+    The hash works on blocks of bytes and is not linear in them, unlike that of substrings.
+    """
+    distinct, codes, starts, ends = _spelled(data, offsets, separators)
+    hashes = np.array([xxhash.xxh3_64_intdigest(x, 0x5EED) for x in distinct.to_pylist()], dtype=U)[codes]
+    return hashes, np.searchsorted(offsets, starts, "right") - 1, starts, ends
+
+
+def sequences(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Each text's words with A-Z in lower case, one space between them: equal for equal sequences of words only."""
+    if not len(data):
+        return [b""] * (len(offsets) - 1)
+    kept, _, ends = _edges(data, offsets, "space")
+    line = per_process("lowered", _lowered)[data]
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[offsets] = True
+    gaps = ends[~begins[ends]]  # the byte after a word, if the text goes on
+    kept[gaps] = True
+    line[gaps] = 0x20
+    at = np.r_[0, np.cumsum(kept)][offsets]
+    flat = line[kept].tobytes()
+    return [flat[a:b].rstrip(b" ") for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def exact_grams(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`distinct_grams`, but numbers in place of hashes: equal within this call for equal shingles only."""
+    _, codes, rows = tokens(data, offsets)
+    total = len(codes)
+    if not total:
+        return codes, rows
+    width = int(codes.max()) + 2
+    left = np.bincount(rows, minlength=len(offsets) - 1)
+    left = np.cumsum(left)[rows] - np.arange(total)  # words from here to the text's end
+    gram = codes + 1
+    for k in range(1, n):  # 0 where the text has ended
+        follows = np.zeros(total, dtype=np.int64)
+        follows[: max(0, total - k)] = np.where(left[: max(0, total - k)] > k, codes[k:] + 1, 0)
+        gram = np.unique(gram, return_inverse=True)[1] * width + follows
+    first = np.r_[True, rows[1:] != rows[:-1]]
+    whole = (left >= n) | first  # a text of fewer words is one shingle
+    gram, rows = np.unique(gram, return_inverse=True)[1][whole], rows[whole]
+    pairs = np.unique(rows * total + gram)
+    return pairs % total, pairs // total
 
 
 def grams(hashes: np.ndarray, rows: np.ndarray, n: int, short: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venueops.llm.tokens import shipped
@@ -147,8 +148,10 @@ def pack_documents(
 
 def pack_examples(examples: DataFrame, limits: tuple[int, int, int], tokens: str, loss: str) -> DataFrame:
     """``examples`` with a sequence_id and its offset: whole examples, none cut, under ``limits`` on tokens, segments
-    and loss-bearing tokens. Null counts are 0; an example beyond a limit fails the job."""
-    names = examples.columns
+    and loss-bearing tokens. Null counts are 0; an example beyond a limit fails the job. Columns that are already named
+    sequence_id or offset are replaced; repeated rows are examples of their own."""
+    names = [c for c in examples.columns if c.lower() not in ("sequence_id", "offset")]
+    examples = examples.select(*names, F.col(tokens).alias("__tokens"), F.col(loss).alias("__loss"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(limits, TaskContext.get().partitionId())
@@ -168,14 +171,14 @@ def pack_examples(examples: DataFrame, limits: tuple[int, int, int], tokens: str
 
         schema = None
         for batch in batches:
+            n, m = (batch.column(k).to_pylist() for k in (-2, -1))
+            batch = pa.RecordBatch.from_arrays(batch.columns[:-2], batch.schema.names[:-2])
             schema = batch.schema
-            n = batch.column(names.index(tokens)).to_pylist()
-            m = batch.column(names.index(loss)).to_pylist()
             for k in range(batch.num_rows):
                 size = int(n[k] or 0)
                 yield from arrow(packer.put((batch.slice(k, 1), size), (size, 1, int(m[k] or 0))), schema)
         if schema is not None:
             yield from arrow(packer.end(), schema)
 
-    out = T.StructType([*examples.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    out = T.StructType([*examples.schema[:-2], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return examples.mapInArrow(each, out)

@@ -1,21 +1,24 @@
-"""Exact removal of long byte strings that occur more than once, by a logarithmic family of suffix arrays.
-
-All suffixes of a corpus are far too many to sort. Only suffixes at anchors are kept: of every window of ``length``
-bytes the start of its least ``length // 2``-byte string (by hash, the leftmost of equals). Which string that is
-depends on the window's bytes alone, so equal windows have anchors at equal places, and a hundredth of the positions
-is enough. A suffix array here is the sorted table of its anchors' suffixes, each by the fingerprint of its first
-``length // 2`` bytes (``key``) and of its reach (``hull``: all windows that chose the anchor, as one string).
-
-* **Index family.** A new batch of documents gets its array, which is merge-scanned against the levels that exist:
-  keys that both have are long matches. Then the array becomes a level, and levels of equal size are merged, so
-  that n batches leave log n levels, and every suffix is merged log n times.
+"""Exact removal of long strings that occur more than once, by a logarithmic family of fingerprint tables.
+
+Strings are of ``length`` units, bytes or words. All suffixes of a corpus are far too many to sort. Only suffixes at
+anchors are kept: of every window of ``length`` units the start of its least string of ``length // 2`` (by hash, the
+leftmost of equals). Which string that is depends on the window alone, so equal windows have anchors at equal
+places, and a small share of the positions is enough. In place of a suffix array a batch has the table of its anchors,
+each by the fingerprint of its first ``length // 2`` units (``key``) and of its reach (``hull``: all windows that chose
+the anchor, as one string); as only matches of a fixed length are asked for, neither suffix order nor common prefixes
+are kept.
+
+* **Index family.** A new batch of documents gets its table, which is met with the levels that exist by a semi join:
+  keys that both have are long matches. Then the table becomes a level, and levels of equal size are merged, so
+  that n batches leave log n levels, and every anchor is merged log n times.
 * **Windows.** A reach that occurs twice makes all its windows repeats. For an anchor whose key is shared and whose
   reach is not (the ends of a match) the windows themselves are compared, within the key: small groups as
   sorted runs of contexts, groups beyond ``GROUP`` contexts as rows of a grouped count, so that no task has to
   hold a hot key. Both are the same comparison.
 * **Bytes.** The union of all repeated windows of a document is taken out.
 
-Keys and reaches are 64-bit fingerprints, compared within equal keys.
+Keys and reaches are 64-bit fingerprints, compared within equal keys. Words are runs without white space, A-Z in
+lower case.
 """
 
 from __future__ import annotations
@@ -31,14 +34,30 @@ from pyspark.sql import functions as F
 
 from venueops.llm import kernel as K
 from venueops.llm.common import KEY, checkpointed, removed, row_key, written
-from venueops.llm.setjoin import _unpacked
 
 GROUP = 2000
 
 
+class Line:
+    """A slice's texts as units: ``values`` (bytes, or hashes of words), ``offsets`` of the texts among them, and where
+    each unit starts and ends in the slice's bytes."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, unit: str):
+        self.data, self.unit = data, unit
+        if unit == "bytes":
+            self.values, self.offsets = data, offsets
+        else:
+            self.values, rows, self.starts, self.ends = K.words(data, offsets)
+            self.offsets = np.searchsorted(rows, np.arange(len(offsets)))
+
+    def bytes_of(self, a: int, b: int) -> tuple[int, int]:
+        """The bytes from unit ``a`` to unit ``b``, which is not among them; a < b."""
+        return (a, b) if self.unit == "bytes" else (int(self.starts[a]), int(self.ends[b - 1]))
+
+
 def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(key, hull, row, anchor, first window, last window) of a slice's anchors; positions count from the text's
-    first byte."""
+    """(key, hull, row, anchor, first window, last window) of a slice's anchors; positions count units from the
+    text's first."""
     seed = length // 2
     width = length - seed + 1
     n = len(data)
@@ -74,13 +93,14 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int):
     return value[anchor], hull, row, anchor - start, first - start, last - start
 
 
-def _array(docs: DataFrame, length: int) -> DataFrame:
+def _array(docs: DataFrame, length: int, unit: str) -> DataFrame:
     """(key, hull, n) of a batch's anchors."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, offsets, data in K.slices(batch.column(0)):
-                key, hull, *_ = anchors_of(data, offsets, length)
+                line = Line(data, offsets, unit)
+                key, hull, *_ = anchors_of(line.values, line.offsets, length)
                 both, n = np.unique(np.stack([key, hull], axis=1), axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(K.signed(both[:, 0])), pa.array(K.signed(both[:, 1])), pa.array(n.astype(np.int64))],
@@ -93,13 +113,13 @@ def _array(docs: DataFrame, length: int) -> DataFrame:
 class IndexFamily:
     """Levels of sorted arrays in the shared folder, sizes in powers of two of a batch."""
 
-    def __init__(self, length: int = 400):
-        self.length = length
+    def __init__(self, length: int = 400, unit: str = "bytes"):
+        self.length, self.unit = length, unit
         self.levels: list[tuple[int, DataFrame, str]] = []
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Indexes a batch; returns the keys (written) of its long matches, inside itself and with earlier batches."""
-        fresh, path = _level(_array(docs, self.length))
+        fresh, path = _level(_array(docs, self.length, self.unit))
         within = fresh.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
         keys = fresh.select("key").distinct()
         for _, level, _ in self.levels:
@@ -127,13 +147,14 @@ def _level(rows: DataFrame) -> tuple[DataFrame, str]:
     return written(rows.groupBy("key", "hull").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "hull"))
 
 
-def _occurrences(docs: DataFrame, length: int) -> DataFrame:
+def _occurrences(docs: DataFrame, length: int, unit: str) -> DataFrame:
     """One row per anchor of every row with text."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, _, offsets, data in K.slices(batch.column(1)):
-                key, hull, row, anchor, first, last = anchors_of(data, offsets, length)
+                line = Line(data, offsets, unit)
+                key, hull, row, anchor, first, last = anchors_of(line.values, line.offsets, length)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(K.signed(key)),
@@ -174,8 +195,8 @@ def _pieces(batch: pa.RecordBatch, column: str):
     return rows, {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
 
 
-def _contexts(places: DataFrame, length: int, windows: bool) -> DataFrame:
-    """Of anchors to compare, with their texts: contexts (the reach as bytes), or the windows' fingerprints."""
+def _contexts(places: DataFrame, length: int, unit: str, windows: bool) -> DataFrame:
+    """Of anchors to compare, with their texts: contexts (the reach's units), or the windows' fingerprints."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = zstandard.ZstdDecompressor()
@@ -184,13 +205,14 @@ def _contexts(places: DataFrame, length: int, windows: bool) -> DataFrame:
                 batch = whole.slice(start, 200)
                 owner, at = _pieces(batch, "anchors")
                 packed = batch.column(1)
-                held, row = b"", -1
+                held, row = np.empty(0, np.uint8), -1
                 parts = []
                 for i in range(len(owner)):
                     if owner[i] != row:
                         row = owner[i]
-                        held = texts.decompress(packed[int(row)].as_py())
-                    parts.append(held[at["a"][i] : at["b"][i] + length])
+                        text = np.frombuffer(texts.decompress(packed[int(row)].as_py()), dtype=np.uint8)
+                        held = Line(text, np.array([0, len(text)]), unit).values
+                    parts.append(held[at["a"][i] : at["b"][i] + length].tobytes())
                 out = pa.RecordBatch.from_arrays(
                     [
                         pa.array(at["key"]),
@@ -206,7 +228,7 @@ def _contexts(places: DataFrame, length: int, windows: bool) -> DataFrame:
                     continue
                 for some in range(0, out.num_rows, 1000):
                     part = out.slice(some, 1000)
-                    i, p, mark = _window_marks(part, length)
+                    i, p, mark = _window_marks(part, length, unit)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(K.signed(mark)), part.column(0).take(pa.array(i)), part.column(1).take(pa.array(i)), pa.array(p)],
                         ["mark", "key", KEY, "p"],
@@ -216,12 +238,13 @@ def _contexts(places: DataFrame, length: int, windows: bool) -> DataFrame:
     return places.select(KEY, "z", "anchors").mapInArrow(each, kind)
 
 
-def _window_marks(batch: pa.RecordBatch, length: int):
+def _window_marks(batch: pa.RecordBatch, length: int, unit: str):
     """(row, position, fingerprint with the place relative to the anchor) of every window of the contexts."""
     contexts = batch.column(4).to_pylist()
-    sizes = np.array([len(x) for x in contexts], dtype=np.int64)
+    units = np.frombuffer(b"".join(contexts), dtype=np.uint8 if unit == "bytes" else K.U)
+    sizes = np.array([len(x) for x in contexts], dtype=np.int64) // units.itemsize
     begins = np.r_[0, np.cumsum(sizes)]
-    sums = K.prefix_sums(np.frombuffer(b"".join(contexts), dtype=np.uint8))
+    sums = K.prefix_sums(units)
     counts = sizes - length + 1
     i = np.repeat(np.arange(len(sizes)), counts)
     t = np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -232,11 +255,11 @@ def _window_marks(batch: pa.RecordBatch, length: int):
     return i, p, K.mixed(marks + (m[i] - p).astype(K.U) * K.U(0x9FB21C651E98DF25))
 
 
-def _runs(contexts: DataFrame, length: int) -> DataFrame:
+def _runs(contexts: DataFrame, length: int, unit: str) -> DataFrame:
     """(row key, a, b) of window starts that are repeats, from contexts sorted by key in each partition."""
 
     def settled(batch: pa.RecordBatch) -> pa.RecordBatch:
-        i, p, mark = _window_marks(batch, length)
+        i, p, mark = _window_marks(batch, length, unit)
         key = batch.column(0).to_numpy().view(K.U)
         mark = K.mixed(mark ^ K.mixed(key)[i])
         _, inverse, counts = np.unique(mark, return_inverse=True, return_counts=True)
@@ -269,8 +292,22 @@ def _runs(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(each, f"{KEY} binary, a long, b long")
 
 
-def _covered(spans: DataFrame, length: int) -> DataFrame:
-    """(row key, spans, n_removed, kept, kept_text): the union of the windows of each text taken out of it."""
+def _unpacked(packed: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    texts = zstandard.ZstdDecompressor()
+    lo = 0
+    while lo < len(packed):
+        hi, size, parts = lo, 0, []
+        while hi < len(packed) and (size < K.SLICE or hi == lo):
+            parts.append(texts.decompress(packed[hi]))
+            size += len(parts[-1])
+            hi += 1
+        offsets = np.r_[0, np.cumsum([len(x) for x in parts])]
+        yield lo, hi, offsets, np.frombuffer(b"".join(parts), dtype=np.uint8)
+        lo = hi
+
+
+def _covered(spans: DataFrame, length: int, unit: str) -> DataFrame:
+    """(row key, spans, n_removed, kept, kept_text): the union of the windows of each text taken out of it, in bytes."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -280,10 +317,13 @@ def _covered(spans: DataFrame, length: int) -> DataFrame:
                 out = {"spans": [], "n": [], "sha": [], "text": []}
                 edges = np.searchsorted(owner, np.arange(batch.num_rows + 1))
                 for lo, _, offsets, data in _unpacked(batch.column(1).to_pylist()):
+                    line = Line(data, offsets, unit)
                     for k in range(len(offsets) - 1):
                         text = data[offsets[k] : offsets[k + 1]]
                         mine = slice(edges[lo + k], edges[lo + k + 1])
-                        found = merged(at["a"][mine], at["b"][mine] + length)
+                        units = merged(at["a"][mine], at["b"][mine] + length)
+                        first = line.offsets[k]
+                        found = [tuple(int(x - offsets[k]) for x in line.bytes_of(first + a, first + b)) for a, b in units]
                         out["spans"].append([{"start": int(a), "end": int(b)} for a, b in found])
                         out["n"].append(int(sum(b - a for a, b in found)))
                         out["sha"].append(hashlib.sha256(_rest(text, found)).hexdigest())
@@ -328,11 +368,14 @@ def _rest(text: np.ndarray, spans: list[tuple[int, int]]) -> bytes:
     return text[keep].tobytes()
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4, group: int = GROUP) -> DataFrame:
-    """(row key, spans, n_removed, kept_sha256, kept_text) of each row that holds a repeated string.
+def repeated_spans(
+    docs: DataFrame, length: int = 400, batches: int = 4, group: int = GROUP, unit: str = "bytes"
+) -> DataFrame:
+    """(row key, spans, n_removed, kept_sha256, kept_text) of each row that holds a repeated string; spans in bytes.
 
-    Texts are UTF-8 bytes. A byte is removed when some ``length``-byte string that covers it also starts at any
-    other place of any row, overlapping ones included; strings are judged on the input, never across rows. Null and
+    Texts are UTF-8 bytes. A byte is removed when some string of ``length`` bytes that covers it also starts at any
+    other place of any row, overlapping ones included; strings are judged on the input, never across rows. With words
+    as ``unit``, strings are of ``length`` words, and go from the first word's first byte to the last one's last. Null and
     short texts have none. Rows that agree in doc_id and text have one result. ``kept_text`` keeps characters that are
     only partly covered, ``kept_sha256`` is over the exact bytes. ``batches`` is how many batches go through the
     index; it does not change the result.
@@ -340,7 +383,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4, group:
     if length < 2:
         raise ValueError("length must be at least 2")
     texts = docs.select("doc_id", "text")
-    family = IndexFamily(length)
+    family = IndexFamily(length, unit)
     keys = None
     part = F.pmod(F.xxhash64("text"), F.lit(batches))
     for k in range(batches):
@@ -351,7 +394,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4, group:
     known = checkpointed(known.join(hulls, "key"))
     removed(docs.sparkSession, *[path for _, _, path in family.levels])
 
-    at = checkpointed(_occurrences(texts, length).join(known, ["key", "hull"]))
+    at = checkpointed(_occurrences(texts, length, unit).join(known, ["key", "hull"]))
     touched = at.filter("n > 1 or hulls > 1").select(KEY).distinct()
     held = checkpointed(_packed(texts, length).join(touched, KEY, "left_semi").dropDuplicates([KEY]))
 
@@ -367,23 +410,24 @@ def repeated_spans(docs: DataFrame, length: int = 400, batches: int = 4, group:
         grouped = to_compare.filter(which).groupBy(KEY).agg(F.collect_list("anchor").alias("anchors"))
         return held.join(grouped, KEY)
 
-    small = _runs(_contexts(places(f"hulls <= {group}"), length, windows=False), length)
-    rows = checkpointed(_contexts(places(f"hulls > {group}"), length, windows=True))
+    small = _runs(_contexts(places(f"hulls <= {group}"), length, unit, windows=False), length, unit)
+    rows = checkpointed(_contexts(places(f"hulls > {group}"), length, unit, windows=True))
     often = rows.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     large = rows.join(often, ["key", "mark"], "left_semi").select(KEY, F.col("p").alias("a"), F.col("p").alias("b"))
     starts = at.filter("n > 1").select(KEY, "a", "b").unionByName(small).unionByName(large)
     starts = starts.groupBy(KEY).agg(F.collect_list(F.struct("a", "b")).alias("starts"))
-    return _covered(held.join(starts, KEY), length)
+    return _covered(held.join(starts, KEY), length, unit)
 
 
 def repeats_report(docs: DataFrame, length: int = 400, batches: int = 4, group: int = GROUP) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; see :func:`repeated_spans`."""
-    spans = checkpointed(repeated_spans(docs, length, batches, group).drop("kept_text"))
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text; see :func:`repeated_spans`."""
+    spans = checkpointed(repeated_spans(docs, length, batches, group))
     rows = docs.select(
         row_key("doc_id", "text").alias(KEY),
         "doc_id",
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     return rows.join(spans, KEY, "left").select(
         "doc_id",
@@ -391,12 +435,18 @@ def repeats_report(docs: DataFrame, length: int = 400, batches: int = 4, group:
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("spans").isNull(), 0).otherwise(F.size("spans")).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+        F.coalesce("kept_text", "text").alias("kept_text"),
     )
 
 
-def without_repeats(docs: DataFrame, length: int = 400, batches: int = 4, group: int = GROUP) -> DataFrame:
-    """``docs`` with the repeated strings taken out of ``text`` (whole characters) and ``n_chars`` counted anew."""
-    spans = checkpointed(repeated_spans(docs, length, batches, group).select(KEY, "kept_text"))
+def without_repeats(
+    docs: DataFrame, length: int = 400, batches: int = 4, group: int = GROUP, unit: str = "bytes"
+) -> DataFrame:
+    """``docs`` with the repeated strings taken out of ``text`` (whole characters) and ``n_chars`` counted anew.
+
+    All rows stay, also those left with an empty text. Null texts stay null; repeated rows lose the same.
+    """
+    spans = checkpointed(repeated_spans(docs, length, batches, group, unit).select(KEY, "kept_text"))
     names = docs.columns
     out = docs.withColumn(KEY, row_key("doc_id", "text")).join(spans, KEY, "left")
     out = out.withColumn("text", F.coalesce("kept_text", "text"))

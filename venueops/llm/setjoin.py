@@ -13,7 +13,8 @@ one-deletion neighbourhood), at least one must meet.
 * Allocation is by cost: per band the number of segments with deletion neighbourhoods is the one with the least
   rows plus expected chance meetings, from the number and sizes of the band's sets.
 
-Sets that are equal are one class from the start (``sid``, 128 bits). Inside a batch of rows only the first class
+Texts of equal words are one class from the start (``sid``, 128 bits of a cryptographic digest). Hashes of shingles only
+propose pairs; links are decided on the words themselves. Inside a batch of rows only the first class
 with a signature goes to the shuffle, so that a hot group is reduced before it. Signature groups are not expanded
 into pairs: members are compared with a pivot (first by sizes and parities of their
 shingles, which bound the difference from below, then by whole texts), links are closed to components, and only groups that still hold
@@ -22,13 +23,14 @@ several components are compared further, across components. No link that could j
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueops.llm import kernel as K
@@ -82,14 +84,12 @@ def allocation(threshold: Threshold, band: int, sets: int) -> tuple[int, int]:
 
 
 def sets_of(data, offsets, n_words):
-    """(shingles, their rows, size per row, 128-bit id per row) of the texts in a slice."""
+    """(shingles, their rows, size per row, 128-bit id per row) of the texts in a slice. The id is a cryptographic
+    digest of the text's words, so that rows of one id have equal sets; equal sets of other words are found as links."""
     values, rows = K.distinct_grams(data, offsets, n_words)
-    n = len(offsets) - 1
-    sizes = np.bincount(rows, minlength=n)
-    a = K.sums_by(rows, K.mixed(values * K.U(0xC2B2AE3D27D4EB4F)), n)
-    b = K.sums_by(rows, K.mixed(values ^ K.U(0x165667B19E3779F9)), n)
-    ids = np.stack([K.mixed(a + sizes.astype(K.U)), K.mixed(b)], axis=1)
-    return values, rows, sizes, ids
+    sizes = np.bincount(rows, minlength=len(offsets) - 1)
+    digests = [hashlib.blake2b(x, digest_size=16).digest() for x in K.sequences(data, offsets)]
+    return values, rows, sizes, np.frombuffer(b"".join(digests), dtype=K.U).reshape(-1, 2)
 
 
 def parities(values: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -273,18 +273,10 @@ def _texts(docs: DataFrame, n_words: int) -> DataFrame:
     return docs.select("text").mapInArrow(each, "sid binary, z binary")
 
 
-def _unpacked(packed: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _joined(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     texts = zstandard.ZstdDecompressor()
-    lo = 0
-    while lo < len(packed):
-        hi, size, parts = lo, 0, []
-        while hi < len(packed) and (size < K.SLICE or hi == lo):
-            parts.append(texts.decompress(packed[hi]))
-            size += len(parts[-1])
-            hi += 1
-        offsets = np.r_[0, np.cumsum([len(x) for x in parts])]
-        yield lo, hi, offsets, np.frombuffer(b"".join(parts), dtype=np.uint8)
-        lo = hi
+    parts = [texts.decompress(x) for x in packed]
+    return np.r_[0, np.cumsum([len(x) for x in parts])], np.frombuffer(b"".join(parts), dtype=np.uint8)
 
 
 def overlaps(left: tuple, right: tuple, n: int) -> np.ndarray:
@@ -311,14 +303,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, n_words: int, threshold: Thres
                 end = max(start + 1, int(np.searchsorted(done, done[start] + 4 * K.SLICE, "right")) - 1)
                 part = batch.slice(start, end - start)
                 n = part.num_rows
-                sides = []
-                for side in packed:
-                    values, rows = [], []
-                    for lo, _, offsets, data in _unpacked(side[start:end]):
-                        v, r = K.distinct_grams(data, offsets, n_words)
-                        values.append(v)
-                        rows.append(r + lo)
-                    sides.append((np.concatenate(values), np.concatenate(rows)))
+                offsets, data = _joined([*packed[0][start:end], *packed[1][start:end]])
+                values, rows = K.exact_grams(data, offsets, n_words)
+                first = rows < n
+                sides = [(values[first], rows[first]), (values[~first], rows[~first] - n)]
                 both = overlaps(*sides, n)
                 sizes = [np.bincount(rows, minlength=n) for _, rows in sides]
                 good = den * both >= num * (sizes[0] + sizes[1] - both)
@@ -346,14 +334,11 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
         for r in rows.filter("n > 0").groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()
     }
 
-    same = Window.partitionBy("sig")
     signatures, path = written(_signatures(docs, n_words, threshold, counts))
-    met = (
-        signatures.filter("pivot is null")
-        .select("sig", "sid", F.min("sid").over(same).alias("pivot"), F.max("sid").over(same).alias("other"))
-        .filter("pivot <> other")
-        .select("sig", "sid", "pivot")
-    )
+    heads = signatures.filter("pivot is null").select("sig", "sid")
+    least = heads.groupBy("sig").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
+    least = checkpointed(least.filter("pivot <> other").select("sig", "pivot"))
+    met = heads.join(least, "sig").select("sig", "sid", "pivot")
     members = checkpointed(met.unionByName(signatures.filter("pivot is not null")))
     removed(spark, path)
 
@@ -430,13 +415,9 @@ def _verified_in_tiles(many: DataFrame, texts: DataFrame, n_words: int, threshol
 
     def each(tile: pa.Table) -> pa.Table:
         tile = tile.combine_chunks()
-        values, rows = [], []
-        for lo, _, offsets, data in _unpacked(tile.column("z").to_pylist()):
-            v, r = K.distinct_grams(data, offsets, n_words)
-            values.append(v)
-            rows.append(r + lo)
-        values, rows = np.concatenate(values), np.concatenate(rows)
         n = tile.num_rows
+        offsets, data = _joined(tile.column("z").to_pylist())
+        values, rows = K.exact_grams(data, offsets, n_words)
         sizes = np.bincount(rows, minlength=n)
         _, column, spread = np.unique(values, return_inverse=True, return_counts=True)
         shared = spread[column] > 1
@@ -511,8 +492,8 @@ def jaccard_components(docs: DataFrame, n_words: int = 5, num: int = 80, den: in
 def one_of_each(docs: DataFrame, n_words: int = 5, num: int = 80, den: int = 100, ratio: float = 2.0) -> DataFrame:
     """``docs`` without the rows that have a similar document of smaller doc_id in their component.
 
-    Rows that agree in doc_id and text count as one document and stay or go together; of one doc_id with several
-    texts in a component one text stays.
+    Of rows that agree in doc_id and text one stays, and of one doc_id with several texts in a component one text.
+    Null texts and those without words all stay. A null doc_id comes last; an empty table stays empty.
     """
     found = checkpointed(jaccard_components(docs, n_words, num, den, ratio).filter("n_shingles > 0"))
     first = found.filter("doc_id <=> component_id").groupBy("component_id").agg(F.min(KEY).alias("first"))
@@ -522,4 +503,8 @@ def one_of_each(docs: DataFrame, n_words: int = 5, num: int = 80, den: int = 100
         .select(KEY)
         .distinct()
     )
-    return docs.withColumn(KEY, row_key("doc_id", "text")).join(checkpointed(dropped), KEY, "left_anti").drop(KEY)
+    kept = docs.withColumn(KEY, row_key("doc_id", "text")).join(checkpointed(dropped), KEY, "left_anti")
+    twice = found.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(KEY)
+    twice = checkpointed(twice)
+    repeated = kept.join(twice, KEY, "left_semi").dropDuplicates([KEY])
+    return kept.join(twice, KEY, "left_anti").unionByName(repeated).drop(KEY)

@@ -9,6 +9,7 @@ Unit vectors at a cosine of c differ, along a random direction scaled to unit va
 * In a cell ``COUNTED`` further projections are sorted, each vector's window (centred on it) is looked up in every
   order, and pairs with enough collisions are verified by their cosine in double precision. The count required is the
   highest that loses at most half a percent of the pairs at the threshold.
+* Equal vectors are one class with a count before any cell is made.
 * Cells beyond ``TILE`` vectors are cut into blocks, and pairs of blocks are tasks of their own. Tasks return
   counts of links and spanning forests, no pairs; a pair counts in the first table that it shares.
 """
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from venueops.llm.common import checkpointed, components
 from venueops.llm.setjoin import spanning
 
 MATES, COUNTED, TILE = 32, 24, 512
+PRODUCTS = 1 << 22  # components of vector pairs that are multiplied at a time
 STEP = 1.5  # a cell's width, in standard deviations of a projection
 
 
@@ -54,30 +57,38 @@ def _directions(dim: int, count: int) -> np.ndarray:
 
 
 def _units(packed: pa.Array, kind: str) -> np.ndarray:
+    """Unit vectors; components are first brought near 1 by a power of two, which is exact, so that no square is lost."""
     x = np.frombuffer(b"".join(packed.to_pylist()), dtype=kind).reshape(len(packed), -1).astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _rows(vectors: DataFrame) -> DataFrame:
-    """Every row with ``__row`` and, where it can link, its components' bytes."""
+    """Every row with ``__row`` and, where it can link, its components' bytes and the key of its class: equal label
+    and components."""
     kind = {"float": "<f4", "double": "<f8"}[vectors.schema["embedding"].dataType.elementType.simpleString()]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for label, x in zip(batch.column(2), batch.column(3), strict=True):
-                values = x.values if x.is_valid else None
-                if label.is_valid and values is not None and len(values) and not values.null_count:
-                    v = values.to_numpy(zero_copy_only=False).astype(kind)
-                    norm = np.linalg.norm(v.astype(np.float64))
-                    out.append(v.tobytes() if np.isfinite(norm) and norm > 0 else None)
-                else:
-                    out.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], ["__row", "vec_id", "label", "packed"])
+            n, label, lists = batch.num_rows, batch.column(2), batch.column(3)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            flat = lists.flatten()
+            values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(kind)
+            owner = np.repeat(np.arange(n), sizes)
+            odd = flat.is_null().to_numpy(zero_copy_only=False) | ~np.isfinite(values)
+            able = label.is_valid().to_numpy(zero_copy_only=False) & (np.bincount(owner, odd, n) == 0)
+            able &= np.bincount(owner, values != 0, n) > 0
+            ends = (np.r_[0, np.cumsum(sizes)] * values.itemsize).astype(np.int32)
+            packed = pa.Array.from_buffers(
+                pa.binary(), n, [pa.py_buffer(np.packbits(able, bitorder="little")), pa.py_buffer(ends), pa.py_buffer(values.tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], ["__row", "vec_id", "label", "packed"])
 
     picked = vectors.select(F.monotonically_increasing_id().alias("__row"), "vec_id", "label", "embedding")
     kinds = [f"{n} {vectors.schema[n].dataType.simpleString()}" for n in ("vec_id", "label")]
-    return picked.mapInArrow(each, f"__row long, {kinds[0]}, {kinds[1]}, packed binary"), kind
+    found = picked.mapInArrow(each, f"__row long, {kinds[0]}, {kinds[1]}, packed binary")
+    same = F.unhex(F.sha2(F.concat(F.col("label").cast("string").cast("binary"), F.lit(b":"), F.col("packed")), 256))
+    return found.withColumn("same", same), kind
 
 
 def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.98) -> DataFrame:
@@ -88,10 +99,23 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.9
     counts other rows, component_id is the smallest vec_id that links reach. ``recall`` is the least share of
     pairs found at the threshold itself; pairs above it are found more surely, equal vectors always. Pairs
     below the threshold are never linked. Rows of one vec_id are vectors of their own but one node of components.
+
+    Rows of equal label and components are one class from the start and are compared once, whatever their number.
     """
     found, kind = _rows(vectors)
     rows = checkpointed(found)
-    able = rows.filter("packed is not null").withColumn("dim", F.length("packed"))
+    able = checkpointed(
+        rows.filter("packed is not null")
+        .groupBy("same")
+        .agg(
+            F.min("__row").alias("__row"),
+            F.first("label").alias("label"),
+            F.first("packed").alias("packed"),
+            F.count(F.lit(1)).alias("copies"),
+            F.min("vec_id").alias("least_id"),
+        )
+        .withColumn("dim", F.length("packed"))
+    )
     largest = able.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     made, tables, half, required = plan(largest, cosine, recall)
 
@@ -111,11 +135,11 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.9
             longs = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, out.size + 1, tables), pa.int32()), pa.array(K.signed(out).ravel())
             )
-            yield pa.RecordBatch.from_arrays([*batch.columns, longs], ["__row", "label", "packed", "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, longs], ["__row", "label", "packed", "copies", "cells"])
 
     label = vectors.schema["label"].dataType.simpleString()
-    celled = able.select("__row", "label", "packed").mapInArrow(
-        cells, f"__row long, label {label}, packed binary, cells array<long>"
+    celled = able.select("__row", "label", "packed", "copies").mapInArrow(
+        cells, f"__row long, label {label}, packed binary, copies long, cells array<long>"
     )
     celled = checkpointed(celled)
     spread = celled.select("__row", "label", F.length("packed").alias("dim"), F.posexplode("cells").alias("t", "cell"))
@@ -134,7 +158,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.9
             (F.col("own") <= F.col("other")).alias("left"),
             (F.col("own") >= F.col("other")).alias("right"),
         )
-        .join(celled.select("__row", "packed", "cells"), "__row")
+        .join(celled.select("__row", "packed", "copies", "cells"), "__row")
     )
 
     def links(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,12 +177,17 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.9
         good = (collisions >= required) & ((left[:, None] & right[None, :]) | (right[:, None] & left[None, :]))
         np.fill_diagonal(good, False)
         a, b = np.nonzero(np.triu(good))
-        near = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
+        step = max(1, PRODUCTS // x.shape[1])  # pairs whose components are multiplied at a time
+        parts = [np.einsum("ij,ij->i", x[a[k : k + step]], x[b[k : k + step]]) for k in range(0, len(a), step)]
+        near = np.concatenate(parts) >= cosine if parts else np.empty(0, bool)
         a, b = a[near], b[near]
         cells = np.array(tile.column("cells").combine_chunks().flatten().to_numpy()).reshape(len(x), -1)
         t = int(tile.column("t")[0].as_py())
         first = ~(cells[a, :t] == cells[b, :t]).any(axis=1)
-        counts = np.bincount(a[first], minlength=len(x)) + np.bincount(b[first], minlength=len(x))
+        copies = tile.column("copies").to_numpy()
+        counts = np.zeros(len(x), dtype=np.int64)
+        np.add.at(counts, a[first], copies[b[first]])
+        np.add.at(counts, b[first], copies[a[first]])
         joined = np.zeros((len(x), len(x)), dtype=bool)
         joined[a, b] = joined[b, a] = True
         u, v = spanning(joined)
@@ -194,16 +223,27 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.9
 
     dealt = dealt.repartition("tile").sortWithinPartitions("tile", "__row")
     partial = checkpointed(dealt.mapInArrow(each, "__row long, n long, other long"))
-    counts = partial.groupBy("__row").agg(F.sum("n").alias("n_links"))
+    counts = checkpointed(partial.groupBy("__row").agg(F.sum("n").alias("others")))
     labels = checkpointed(components(partial.filter("other is not null").select(F.col("__row").alias("a"), F.col("other").alias("b"))))
-    named = labels.join(rows.select(F.col("__row").alias("node"), "vec_id"), "node")
-    least = named.groupBy("label").agg(F.min("vec_id").alias("component_id"))
-    placed = checkpointed(named.join(least, "label").select(F.col("node").alias("__row"), "component_id"))
-    out = rows.select("__row", "vec_id").join(checkpointed(counts), "__row", "left").join(placed, "__row", "left")
-    component = F.coalesce("component_id", "vec_id")
+    named = labels.join(able.select(F.col("__row").alias("node"), "least_id"), "node")
+    least = named.groupBy("label").agg(F.min("least_id").alias("reached"))
+    placed = checkpointed(named.join(least, "label").select(F.col("node").alias("__row"), "reached"))
+    known = (
+        able.select("same", "__row", "copies", "least_id")
+        .join(counts, "__row", "left")
+        .join(placed, "__row", "left")
+        .filter("copies > 1 or others is not null or reached is not null")
+        .select(
+            "same",
+            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
+            F.coalesce("reached", "least_id").alias("component"),
+        )
+    )
+    out = rows.select("vec_id", "same").join(checkpointed(known), "same", "left")
+    component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
