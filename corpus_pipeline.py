@@ -23,8 +23,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that occur more than once; a passage of 50 words has more than 200 bytes."""
-    return repeats.without_repeats(docs, length=200)
+    """Texts without passages of more than 50 words that occur more than once."""
+    return repeats.without_repeats(docs, length=51, unit="words")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
