@@ -30,7 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from venueops.llm import kernel as K
@@ -207,8 +208,9 @@ def signatures_of(threshold, plan, values, rows, sizes):
 
 
 def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dict[int, int]) -> DataFrame:
-    """(sig, sid, pivot): of each batch, the first class with a signature (pivot null), and the others with that first
-    one as their pivot. Another scan may cut other batches, so both kinds have to come from one."""
+    """(sig, occ, pivot, sid). ``occ`` is a class in a batch, a small number, of which one row with the ``sid`` and no
+    signature tells the class. Of each batch, the first class with a signature has no pivot, the others have that
+    first one as theirs. Another scan may cut other batches, so all kinds have to come from one."""
     plans: dict[int, tuple[int, int]] = {}
 
     def plan(scheme: int) -> tuple[int, int]:
@@ -217,6 +219,8 @@ def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dic
         return plans[scheme]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        names = ["sig", "occ", "pivot", "sid"]
         for batch in batches:
             ids, found, owners, rows_before = [], [], [], 0
             for _, _, offsets, data in K.slices(batch.column(0)):
@@ -233,22 +237,23 @@ def _signatures(docs: DataFrame, n_words: int, threshold: Threshold, counts: dic
             if not rows_before:
                 continue
             ids, found, owners = np.concatenate(ids), np.concatenate(found), np.concatenate(owners)
-            order = np.lexsort((owners, found))
-            found, owners = found[order], owners[order]
+            used, owners = np.unique(owners, return_inverse=True)
+            sids, place = np.unique(ids[used], axis=0, return_inverse=True)
+            occ = number + place.reshape(-1)[owners]
+            order = np.lexsort((occ, found))
+            found, occ = found[order], occ[order]
             head = np.r_[True, found[1:] != found[:-1]] if len(found) else np.empty(0, bool)
-            pivot = owners[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-            out = np.flatnonzero(head | (ids[owners] != ids[pivot]).any(axis=1))
+            pivot = occ[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
+            out = np.flatnonzero(head | (occ != pivot))
+            none = pa.nulls(len(sids), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(np.arange(number, number + len(sids))), none, _binary(sids)], names)
+            number += len(sids)
             for some in np.array_split(out, max(1, len(out) // 200_000)):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(K.signed(found[some])),
-                        _binary(ids[owners[some]]),
-                        pa.array([None if h else x.tobytes() for h, x in zip(head[some], ids[pivot[some]], strict=True)], pa.binary()),
-                    ],
-                    ["sig", "sid", "pivot"],
-                )
+                pivots = pa.array(pivot[some], mask=head[some])
+                no_names = pa.nulls(len(some), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(K.signed(found[some])), pa.array(occ[some]), pivots, no_names], names)
 
-    return docs.select("text").mapInArrow(each, "sig long, sid binary, pivot binary")
+    return docs.select("text").mapInArrow(each, "sig long, occ long, pivot long, sid binary")
 
 
 def _texts(docs: DataFrame, n_words: int) -> DataFrame:
@@ -334,27 +339,38 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
         for r in rows.filter("n > 0").groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()
     }
 
+    # A signature has at most a row of each batch here. Numbers of classes in batches keep these rows narrow.
+    same = Window.partitionBy("sig")
     signatures, path = written(_signatures(docs, n_words, threshold, counts))
-    heads = signatures.filter("pivot is null").select("sig", "sid")
-    least = heads.groupBy("sig").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
-    least = checkpointed(least.filter("pivot <> other").select("sig", "pivot"))
-    met = heads.join(least, "sig").select("sig", "sid", "pivot")
-    members = checkpointed(met.unionByName(signatures.filter("pivot is not null")))
+    met = (
+        signatures.filter("sig is not null and pivot is null")
+        .select("sig", "occ", F.min("occ").over(same).alias("pivot"), F.max("occ").over(same).alias("other"))
+        .filter("pivot <> other")
+        .select("sig", "occ", "pivot")
+    )
+    members = checkpointed(met.unionByName(signatures.filter("pivot is not null").select("sig", "occ", "pivot")))
+    names = checkpointed(signatures.filter("sid is not null").select("occ", "sid"))
     removed(spark, path)
 
+    occurrences = members.filter("occ <> pivot").select("occ", "pivot").distinct()
+    left, right = names.select("occ", F.col("sid").alias("x")), names.select(F.col("occ").alias("pivot"), F.col("sid").alias("y"))
     met_pairs = checkpointed(
-        members.filter("sid <> pivot")
-        .select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"))
+        occurrences.join(left, "occ")
+        .join(right, "pivot")
+        .filter("x <> y")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
     pairs = checkpointed(_plausible(met_pairs, rows, threshold))
-    needed = members.select("sid").unionByName(members.select(F.col("pivot").alias("sid"))).distinct()
+    needed = members.select("occ").unionByName(members.select(F.col("pivot").alias("occ"))).distinct()
+    needed = needed.join(names, "occ").select("sid").distinct()
     texts = checkpointed(_texts(docs, n_words).join(needed, "sid", "left_semi").dropDuplicates(["sid"]))
     links = checkpointed(_verified(pairs, texts, n_words, threshold))
     labels = checkpointed(components(links))
 
     # signature groups that still hold several components: compare across components
-    everyone = members.select("sig", "sid").unionByName(members.select("sig", F.col("pivot").alias("sid"))).distinct()
+    everyone = members.select("sig", "occ").unionByName(members.select("sig", F.col("pivot").alias("occ")))
+    everyone = everyone.join(names, "occ").select("sig", "sid").distinct()
     placed = everyone.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sig", "sid", F.coalesce("label", "sid").alias("label")
     )
