@@ -368,13 +368,20 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     links = checkpointed(_verified(pairs, texts, n_words, threshold))
     labels = checkpointed(components(links))
 
-    # signature groups that still hold several components: compare across components
-    everyone = members.select("sig", "occ").unionByName(members.select("sig", F.col("pivot").alias("occ")))
-    everyone = everyone.join(names, "occ").select("sig", "sid").distinct()
-    placed = everyone.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "sig", "sid", F.coalesce("label", "sid").alias("label")
+    # Signature groups that still hold several components: some member's differs from its pivot's. Only those groups'
+    # members are named and moved; components go by a small number meanwhile.
+    placed = names.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
+        "occ", "sid", F.coalesce("label", "sid").alias("label")
     )
-    placed, path = written(placed)
+    placed = checkpointed(placed)
+    numbers = placed.groupBy("label").agg(F.min("occ").alias("component"))
+    numbered = checkpointed(placed.join(numbers, "label").select("occ", "component"))
+    of_pivot = numbered.select(F.col("occ").alias("pivot"), F.col("component").alias("pivot_component"))
+    apart = members.join(numbered, "occ").join(of_pivot, "pivot").filter("component <> pivot_component")
+    apart = checkpointed(apart.select("sig").distinct())
+    inside = checkpointed(members.join(apart, "sig", "left_semi"))
+    everyone = inside.select("sig", "occ").unionByName(inside.select("sig", F.col("pivot").alias("occ"))).distinct()
+    placed, path = written(everyone.join(placed, "occ").select("sig", "sid", "label").distinct())
     mixed = (
         placed.groupBy("sig")
         .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("sids"), F.min("sid").alias("first"))
