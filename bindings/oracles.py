@@ -13,7 +13,7 @@ VIEWS = {
                o_orderpriority AS comment, o_orderdate AS created_at
         FROM orders""",
     "lines_v": """
-        SELECT l_orderkey AS order_id, l_partkey AS menu_item_id,
+        SELECT l_orderkey * 1000 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS menu_item_id,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS item_cost,
                CAST(l_quantity AS INTEGER) AS quantity,
                CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS cooked_at
@@ -92,6 +92,42 @@ VIEWS = {
                COUNT(o.id) AS total_orders, c.tier_id
         FROM customers_v c LEFT JOIN closed o ON o.customer_id = c.id
         GROUP BY c.id, c.total_spent, c.tier_id""",
+    # a day: every order is asked for again, all that wait are cooked, completed and closed
+    "asked": """
+        SELECT o.id AS request_id, c.id AS customer_id, o.payment_type_id, d.address, h.table_id,
+               CASE WHEN o.payment_type_id IN ('1-URGENT', '3-MEDIUM') AND COALESCE(d.courier_id, 0) <> 0
+                        THEN 'delivery'
+                    WHEN o.payment_type_id IN ('2-HIGH', '4-NOT SPECIFIED')
+                        AND COALESCE(h.table_id, 0) <> 0 AND COALESCE(h.employee_id, 0) <> 0 THEN 'hall' END AS route
+        FROM orders_v o LEFT JOIN customers_v c ON c.id = o.customer_id
+        LEFT JOIN deliveries_v d ON d.order_id = o.id LEFT JOIN dine_ins_v h ON h.order_id = o.id""",
+    "placed": """
+        SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY request_id) AS id, *
+        FROM asked WHERE route IS NOT NULL""",
+    "new_lines": """
+        SELECT (SELECT MAX(l_orderkey * 1000 + l_linenumber) FROM lineitem)
+                 + ROW_NUMBER() OVER (ORDER BY p.id, l.menu_item_id, l.quantity) AS id,
+               p.id AS order_id, l.menu_item_id, l.quantity, i.price
+        FROM placed p JOIN lines_v l ON l.order_id = p.request_id JOIN items_v i ON i.id = l.menu_item_id""",
+    "new_orders": """
+        SELECT p.*, CAST(COALESCE(b.total, 0) AS DECIMAL(18,2)) AS total_cost,
+               CAST(round(COALESCE(b.total, 0) * (100 - COALESCE(t.discount_percent, 0))
+                          * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS to_pay
+        FROM placed p
+        LEFT JOIN (SELECT order_id, CAST(SUM(price * quantity) AS DECIMAL(18,2)) AS total
+                   FROM new_lines GROUP BY order_id) b ON b.order_id = p.id
+        LEFT JOIN customers_v c ON c.id = p.customer_id LEFT JOIN discount_tier t ON t.id = c.tier_id""",
+    "day_orders": """
+        SELECT id, customer_id, status_id, total_cost, to_pay, created_at FROM orders_v WHERE status_id <> 'F'
+        UNION ALL
+        SELECT id, customer_id, 'P', total_cost, to_pay, TIMESTAMP '2002-01-02 09:00:00' FROM new_orders""",
+    "day_lines": """
+        SELECT order_id, menu_item_id, quantity FROM lines_v
+        UNION ALL SELECT order_id, menu_item_id, quantity FROM new_lines""",
+    "day_service": """
+        SELECT order_id, 'delivery' AS route FROM deliveries_v
+        UNION ALL SELECT order_id, 'hall' FROM dine_ins_v
+        UNION ALL SELECT id, route FROM placed""",
     "cities_v": """
         SELECT 'depot' AS id, 'Depot' AS name, 15 AS rubies, 25 AS emeralds, 43 AS sapphires
         UNION ALL SELECT 'gate', 'Gate', 20, 30, 25
@@ -133,6 +169,13 @@ _NEEDS = {
     "closed": ["orders_v"],
     "consumption": ["lines_v", "recipes_v", "waiting"],
     "rolled": ["customers_v", "closed"],
+    "asked": ["orders_v", "customers_v", "deliveries_v", "dine_ins_v"],
+    "placed": ["asked"],
+    "new_lines": ["placed", "lines_v", "items_v"],
+    "new_orders": ["new_lines", "customers_v", "discount_tier"],
+    "day_orders": ["orders_v", "new_orders"],
+    "day_lines": ["lines_v", "new_lines"],
+    "day_service": ["deliveries_v", "dine_ins_v", "placed"],
     "walks": ["roads_v"],
     "routes": ["walks"],
     "steps": ["cities_v", "routes"],
@@ -178,6 +221,30 @@ def _service_joins(orders: str) -> str:
         LEFT JOIN customers_v c ON c.id = o.customer_id"""
 
 
+def _admission(turn: str) -> str:
+    return f"""
+            , held AS (SELECT * FROM bookings_v WHERE event_type = 'purchase')
+            , possible AS (
+                SELECT b.*, ROW_NUMBER() OVER (PARTITION BY b.table_id ORDER BY {turn}) AS turn
+                FROM bookings_v b JOIN customer ON c_custkey = b.table_id
+                WHERE b.event_type <> 'purchase' AND c_mktsegment <> 'HOUSEHOLD'
+                  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.table_id = b.table_id
+                                  AND h.start_at < b.end_at AND b.start_at < h.end_at))
+            , one_by_one AS (
+                SELECT table_id, CAST(0 AS BIGINT) AS turn,
+                       CAST([] AS STRUCT(id BIGINT, s TIMESTAMP, e TIMESTAMP)[]) AS taken
+                FROM (SELECT DISTINCT table_id FROM possible)
+                UNION ALL
+                SELECT t.table_id, p.turn,
+                       CASE WHEN len(list_filter(t.taken, lambda x: x.s < p.end_at AND p.start_at < x.e)) > 0
+                            THEN t.taken
+                            ELSE list_append(t.taken, {{'id': p.id, 's': p.start_at, 'e': p.end_at}}) END
+                FROM one_by_one t JOIN possible p ON p.table_id = t.table_id AND p.turn = t.turn + 1)
+            , accepted AS (
+                SELECT unnest(taken).id AS id
+                FROM (SELECT arg_max(taken, turn) AS taken FROM one_by_one GROUP BY table_id))"""
+
+
 def _audit() -> str:
     unique = {
         "region": ["r_regionkey", "r_name"],
@@ -493,15 +560,14 @@ def oracle_sql() -> dict[str, str]:
         "line_materials_text": _with(
             "lines_v items_v recipes_v ingredients_v unit",
             """
-            , numbered AS (SELECT *, ROW_NUMBER() OVER () AS line FROM lines_v)
-            SELECT l.order_id, l.menu_item_id, i.name AS dish, l.quantity, CAST(l.item_cost AS DOUBLE) AS price,
-                   CAST(l.quantity * l.item_cost AS DOUBLE) AS total_price,
+            SELECT l.id AS line_id, l.order_id, l.menu_item_id, i.name AS dish, l.quantity,
+                   CAST(l.item_cost AS DOUBLE) AS price, CAST(l.quantity * l.item_cost AS DOUBLE) AS total_price,
                    string_agg(g.name || ': ' || CAST(r.quantity * l.quantity AS DECIMAL(10,3)) || ' ' || u.name,
                               ', ' ORDER BY r.id) AS ingredients_used
-            FROM numbered l JOIN items_v i ON i.id = l.menu_item_id
+            FROM lines_v l JOIN items_v i ON i.id = l.menu_item_id
             LEFT JOIN recipes_v r ON r.menu_item_id = l.menu_item_id
             LEFT JOIN ingredients_v g ON g.id = r.ingredient_id LEFT JOIN unit u ON u.id = r.unit_id
-            GROUP BY l.line, l.order_id, l.menu_item_id, i.name, l.quantity, l.item_cost""",
+            GROUP BY l.id, l.order_id, l.menu_item_id, i.name, l.quantity, l.item_cost""",
         ),
         "affected_stock": _with(
             "waiting lines_v recipes_v stock_v ingredients_v unit",
@@ -533,8 +599,8 @@ def oracle_sql() -> dict[str, str]:
         "prep_minutes": _with(
             "orders_v lines_v items_v",
             f"""
-            SELECT l.order_id, l.menu_item_id, i.name AS dish, l.quantity, CAST(l.item_cost AS DOUBLE) AS price,
-                   CAST(l.quantity * l.item_cost AS DOUBLE) AS total_price,
+            SELECT l.id AS line_id, l.order_id, l.menu_item_id, i.name AS dish, l.quantity,
+                   CAST(l.item_cost AS DOUBLE) AS price, CAST(l.quantity * l.item_cost AS DOUBLE) AS total_price,
                    strftime(o.created_at, {_STAMP}) AS ordered_at, strftime(l.cooked_at, {_STAMP}) AS cooked_at,
                    {_minutes('o.created_at', 'l.cooked_at')} AS cooking_minutes
             FROM lines_v l JOIN orders_v o ON o.id = l.order_id JOIN items_v i ON i.id = l.menu_item_id""",
@@ -610,27 +676,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "admit_reservations": _with(
             "bookings_v",
-            """
-            , held AS (SELECT * FROM bookings_v WHERE event_type = 'purchase')
-            , possible AS (
-                SELECT b.*, ROW_NUMBER() OVER (PARTITION BY b.table_id ORDER BY b.arrival, b.id) AS turn
-                FROM bookings_v b JOIN customer ON c_custkey = b.table_id
-                WHERE b.event_type <> 'purchase' AND c_mktsegment <> 'HOUSEHOLD'
-                  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.table_id = b.table_id
-                                  AND h.start_at < b.end_at AND b.start_at < h.end_at))
-            , one_by_one AS (
-                SELECT table_id, CAST(0 AS BIGINT) AS turn,
-                       CAST([] AS STRUCT(id BIGINT, s TIMESTAMP, e TIMESTAMP)[]) AS taken
-                FROM (SELECT DISTINCT table_id FROM possible)
-                UNION ALL
-                SELECT t.table_id, p.turn,
-                       CASE WHEN len(list_filter(t.taken, lambda x: x.s < p.end_at AND p.start_at < x.e)) > 0
-                            THEN t.taken
-                            ELSE list_append(t.taken, {'id': p.id, 's': p.start_at, 'e': p.end_at}) END
-                FROM one_by_one t JOIN possible p ON p.table_id = t.table_id AND p.turn = t.turn + 1)
-            , accepted AS (
-                SELECT unnest(taken).id AS id
-                FROM (SELECT arg_max(taken, turn) AS taken FROM one_by_one GROUP BY table_id))
+            f"""
+            {_admission("b.arrival, b.id")}
             SELECT id AS request_id, table_id, id IN (SELECT id FROM accepted) AS accepted
             FROM bookings_v WHERE event_type <> 'purchase'""",
         ),
@@ -680,4 +727,91 @@ def oracle_sql() -> dict[str, str]:
                    '2002-01-01 00:00:30' AS loaded_at, CAST(NULL AS VARCHAR) AS note
             FROM orders""",
         "constraint_audit": _audit(),
+        "place_orders": _with(
+            "new_orders deliveries_v dine_ins_v",
+            """
+            , lines AS (SELECT order_id, COUNT(*) AS n_lines, MIN(id) AS first_line_id FROM new_lines GROUP BY order_id)
+            , served AS (SELECT id, ROW_NUMBER() OVER (PARTITION BY route ORDER BY id) AS k FROM placed)
+            SELECT o.id AS order_id, o.customer_id, 'P' AS status_id, o.payment_type_id,
+                   CAST(o.total_cost AS DOUBLE) AS total_cost, CAST(o.to_pay AS DOUBLE) AS to_pay,
+                   '2002-01-02 09:00:00' AS created_at, l.n_lines, l.first_line_id,
+                   CASE WHEN route = 'delivery' THEN (SELECT MAX(order_id) FROM deliveries_v) + k END AS delivery_id,
+                   CASE WHEN route = 'delivery' THEN o.address END AS address,
+                   CASE WHEN route = 'delivery' THEN 'O' END AS delivery_status_id,
+                   CASE WHEN route = 'hall' THEN (SELECT MAX(order_id) FROM dine_ins_v) + k END AS dine_in_id,
+                   CASE WHEN route = 'hall' THEN o.table_id END AS table_id,
+                   CASE WHEN route = 'hall' THEN 'O' END AS dine_in_status_id
+            FROM new_orders o JOIN served s ON s.id = o.id LEFT JOIN lines l ON l.order_id = o.id""",
+        ),
+        "cook_orders": _with(
+            "day_orders day_lines recipes_v stock_v",
+            """
+            , operations AS (
+                SELECT id AS order_id, (SELECT MAX(o_orderkey) FROM orders WHERE o_orderstatus = 'F')
+                         + ROW_NUMBER() OVER (ORDER BY created_at, id) AS operation_id
+                FROM day_orders WHERE status_id = 'P')
+            , used AS (
+                SELECT o.operation_id, r.ingredient_id, r.unit_id,
+                       CAST(SUM(r.quantity * l.quantity) AS DECIMAL(18,3)) AS amount
+                FROM operations o JOIN day_lines l ON l.order_id = o.order_id
+                JOIN recipes_v r ON r.menu_item_id = l.menu_item_id GROUP BY ALL)
+            , taken AS (SELECT ingredient_id, unit_id, SUM(amount) AS amount FROM used GROUP BY ALL)
+            SELECT (SELECT MAX(l_orderkey * 1000 + l_linenumber) FROM lineitem)
+                     + ROW_NUMBER() OVER (ORDER BY u.operation_id, u.ingredient_id, u.unit_id) AS id,
+                   u.operation_id, u.ingredient_id, 2 AS operation_type_id, u.unit_id,
+                   CAST(u.amount AS DOUBLE) AS amount, CAST(s.quantity - t.amount AS DOUBLE) AS left_in_stock
+            FROM used u JOIN taken t ON t.ingredient_id = u.ingredient_id AND t.unit_id = u.unit_id
+            LEFT JOIN stock_v s ON s.ingredient_id = u.ingredient_id AND s.unit_id = u.unit_id""",
+        ),
+        "complete_orders": _with(
+            "day_orders day_lines day_service",
+            """
+            , lines AS (SELECT order_id, COUNT(*) AS n_lines FROM day_lines GROUP BY order_id)
+            SELECT o.id AS order_id, 'R' AS status_id, l.n_lines,
+                   CASE WHEN l.n_lines > 0 THEN '2002-01-02 11:00:00' END AS first_cooked,
+                   CASE WHEN l.n_lines > 0 THEN '2002-01-02 11:00:00' END AS last_cooked,
+                   CASE WHEN o.id IN (SELECT order_id FROM day_service WHERE route = 'delivery') THEN 'P' END
+                     AS delivery_status_id,
+                   CASE WHEN o.id IN (SELECT order_id FROM day_service WHERE route = 'hall') THEN 'F' END
+                     AS dine_in_status_id
+            FROM day_orders o LEFT JOIN lines l ON l.order_id = o.id""",
+        ),
+        "close_orders": _with(
+            "day_orders day_service customers_v spending_tier",
+            """
+            , running AS (
+                SELECT o.id, o.total_cost, c.tier_id AS old_tier,
+                       c.total_spent + SUM(o.total_cost) OVER (PARTITION BY c.id
+                           ORDER BY o.created_at, o.id ROWS UNBOUNDED PRECEDING) AS spent
+                FROM day_orders o JOIN customers_v c ON c.id = o.customer_id)
+            , earned AS (
+                SELECT r.id, (SELECT MAX(id) FROM orders_v WHERE customer_id IS NOT NULL)
+                         + ROW_NUMBER() OVER (ORDER BY r.id) AS loyalty_id,
+                       round(r.total_cost * t.cashback_percent * CAST(0.01 AS DECIMAL(3,2)), 2) AS points
+                FROM running r JOIN spending_tier t ON t.id = COALESCE(
+                    (SELECT MAX(x.id) FROM spending_tier x WHERE x.min_spent <= r.spent), r.old_tier))
+            , grown AS (
+                SELECT c.id, c.tier_id, CAST(c.total_spent + COALESCE(SUM(o.total_cost), 0) AS DECIMAL(18,2)) AS spent,
+                       COUNT(o.id) AS n
+                FROM customers_v c LEFT JOIN day_orders o ON o.customer_id = c.id GROUP BY c.id, c.tier_id, c.total_spent)
+            SELECT o.id AS order_id, o.customer_id, 'F' AS status_id, '2002-01-02 12:00:00' AS closed_at,
+                   (SELECT MAX(id) FROM orders_v WHERE status_id <> 'P')
+                     + ROW_NUMBER() OVER (ORDER BY o.created_at, o.id) AS financial_transaction_id,
+                   CAST(o.to_pay AS DOUBLE) AS amount, e.loyalty_id, CAST(e.points AS DOUBLE) AS points_amount,
+                   CASE WHEN o.id IN (SELECT order_id FROM day_service WHERE route = 'delivery') THEN 'F' END
+                     AS delivery_status_id,
+                   CAST(g.spent AS DOUBLE) AS total_spent, g.n AS total_orders,
+                   COALESCE((SELECT MAX(x.id) FROM spending_tier x WHERE x.min_spent <= g.spent), g.tier_id)
+                     AS last_achieved_tier_id
+            FROM day_orders o LEFT JOIN earned e ON e.id = o.id LEFT JOIN grown g ON g.id = o.customer_id""",
+        ),
+        "book_tables": _with(
+            "bookings_v",
+            f"""
+            {_admission("b.id")}
+            SELECT (SELECT MAX(id) FROM held) + ROW_NUMBER() OVER (ORDER BY e.event_id) AS id, e.user_id AS table_id,
+                   'user ' || e.user_id AS customer_phone, strftime(e.ts, '%Y-%m-%d') AS reservation_date,
+                   strftime(e.ts, '%H:%M:%S.%f') AS reservation_time, e.value AS duration_minutes
+            FROM events e WHERE e.event_id IN (SELECT id FROM accepted)""",
+        ),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bindings import day
 from bindings.views import Venue
 from venueops.functions.columns import id_of, money
 from venueops.operators import audit, baskets, bookings, keys, lifecycle, loyalty, receipts, reports, routes
@@ -408,6 +409,11 @@ _ALL = {
     "best_routes": best_routes,
     "typed_scan": typed_orders,
     "constraint_audit": constraint_audit,
+    "place_orders": day.place_orders,
+    "cook_orders": day.cook_orders,
+    "complete_orders": day.complete_orders,
+    "close_orders": day.close_orders,
+    "book_tables": day.book_tables,
 }
 
 

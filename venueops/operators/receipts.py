@@ -167,7 +167,7 @@ def _with_service(
 def line_materials_text(
     lines: DataFrame, items: DataFrame, recipes: DataFrame, ingredients: DataFrame, units: DataFrame
 ) -> DataFrame:
-    """Each line with the list of materials it takes, in the order of the recipe's rows.
+    """Each line, with its id and the list of materials it takes, in the order of the recipe's rows.
 
     A dish's recipe is gathered once, as an array (it has a row per ingredient at most); the lines
     then only look it up and multiply. A line without a recipe stays, with NULL.
@@ -189,6 +189,7 @@ def line_materials_text(
         lines.join(needs, "menu_item_id", "left")
         .join(keyed(items, "menu_item_id", dish="name"), "menu_item_id")
         .select(
+            F.col("id").alias("line_id"),
             "order_id",
             "menu_item_id",
             "dish",
@@ -257,8 +258,9 @@ def fulfilment_report(
 
 
 def prep_minutes(lines: DataFrame, items: DataFrame) -> DataFrame:
-    """Minutes from order to plate per line; NULL while the line is not cooked."""
+    """Minutes from order to plate per line, with the line's id; NULL while the line is not cooked."""
     return lines.join(keyed(items, "menu_item_id", dish="name"), "menu_item_id").select(
+        F.col("id").alias("line_id"),
         "order_id",
         "menu_item_id",
         "dish",
