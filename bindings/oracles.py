@@ -727,6 +727,14 @@ def oracle_sql() -> dict[str, str]:
                    '2002-01-01 00:00:30' AS loaded_at, CAST(NULL AS VARCHAR) AS note
             FROM orders""",
         "constraint_audit": _audit(),
+        "stored_update": _with(
+            "orders_v",
+            f"""
+            SELECT id, customer_id, CAST(to_pay AS DOUBLE) AS to_pay, strftime(created_at, {_STAMP}) AS created_at,
+                   CASE WHEN status_id = 'P' AND {_april('created_at')} THEN 'O' ELSE status_id END AS status_id
+            FROM orders_v
+            WHERE created_at >= TIMESTAMP '1996-03-10' AND created_at < TIMESTAMP '1996-06-20 12:00:00'""",
+        ),
         "place_orders": _with(
             "new_orders deliveries_v dine_ins_v",
             """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from bindings import day
 from bindings.views import Venue
 from venueops.functions.columns import id_of, money
 from venueops.operators import audit, baskets, bookings, keys, lifecycle, loyalty, receipts, reports, routes
+from venueops.plans.session import checkpoint_folder
 from venueops.sources.schema import Reference, Table
-from venueops.sources.tables import typed_scan
+from venueops.sources.tables import scan_by_period, typed_scan, update_by_period, write_by_period
 
 APRIL = ("1996-04-01", "1996-04-30")
 NOON = "2024-01-15 12:00:00"
@@ -307,6 +309,23 @@ def typed_orders(v: Venue) -> DataFrame:
     return typed_scan(v.spark, f"{v.folder}/orders.parquet", SALES, AS_OF)
 
 
+STORED_ORDERS = Table(
+    "orders", "id bigint!; customer_id bigint; status_id string; to_pay decimal(18,2); created_at timestamp_ntz",
+    primary=("id",),
+)
+SPRING = ("1996-03-10", "1996-06-20 12:00:00")
+
+
+def stored_update(v: Venue) -> DataFrame:
+    """Orders stored by month; those that waited in April are cooked, then a spring's orders are read back."""
+    path = f"{checkpoint_folder(v.spark)}/{uuid.uuid4().hex}"
+    write_by_period(v.orders, path, STORED_ORDERS, "created_at")
+    waiting = scan_by_period(v.spark, path, STORED_ORDERS, "created_at", *APRIL).filter("status_id = 'P'")
+    patch = waiting.select("id", "created_at", id_of(v.order_statuses, COOKING).alias("status_id"))
+    update_by_period(patch, path, STORED_ORDERS, "id", ["status_id"], "created_at")
+    return scan_by_period(v.spark, path, STORED_ORDERS, "created_at", *SPRING)
+
+
 def _audited() -> list[Table]:
     def ref(name, key):
         return Reference(name, key)
@@ -409,6 +428,7 @@ _ALL = {
     "best_routes": best_routes,
     "typed_scan": typed_orders,
     "constraint_audit": constraint_audit,
+    "stored_update": stored_update,
     "place_orders": day.place_orders,
     "cook_orders": day.cook_orders,
     "complete_orders": day.complete_orders,
