@@ -212,7 +212,9 @@ NETWORKS = {
             ("Таратайка", 15, 25, 43), ("Угаралитевск", 10, 5, 30), ("Буханково", 10, 50, 20),
             ("Карапулька", 35, 15, 45), ("Агаповка", 20, 30, 25),
         ],
-        "1-2 1-3 2-4 3-4 4-5",
+        [
+            (1, 2), (1, 3), (2, 4), (3, 4), (4, 5),
+        ],
     ),
     2: (
         [
@@ -220,7 +222,10 @@ NETWORKS = {
             ("Турбонадувск", 80, 80, 5), ("Тессерактово", 80, 5, 80), ("Елыпаловск", 5, 80, 80),
             ("Датабейсово", 70, 70, 70), ("Сосновск", 90, 40, 40), ("Агаповка", 10, 10, 10),
         ],
-        "1-2 1-3 1-4 1-5 1-6 1-7 2-9 2-5 3-5 3-7 4-6 4-7 5-8 5-9 6-8 6-9 7-8 7-9 8-10 9-10",
+        [
+            (1, 2), (1, 3), (1, 4), (1, 5), (1, 6), (1, 7), (2, 9), (2, 5), (3, 5), (3, 7),
+            (4, 6), (4, 7), (5, 8), (5, 9), (6, 8), (6, 9), (7, 8), (7, 9), (8, 10), (9, 10),
+        ],
     ),
     3: (
         [
@@ -230,8 +235,12 @@ NETWORKS = {
             ("Жеребецк", 15, 45, 40), ("Пластырево", 35, 15, 50), ("Перекрестково", 35, 35, 30),
             ("Крутовск", 25, 35, 40), ("Хардкорново", 40, 25, 35), ("Агаповка", 20, 20, 20),
         ],
-        "1-2 1-3 1-4 1-5 2-6 2-7 2-5 3-6 3-5 3-8 4-7 4-8 5-6 5-7 5-8 6-9 6-10 6-11 7-9 7-11 8-10 8-11 "
-        "9-12 9-13 10-13 10-14 11-12 11-14 12-15 13-15 14-15 5-9 5-10 6-12 7-14 8-13",
+        [
+            (1, 2), (1, 3), (1, 4), (1, 5), (2, 6), (2, 7), (2, 5), (3, 6), (3, 5), (3, 8),
+            (4, 7), (4, 8), (5, 6), (5, 7), (5, 8), (6, 9), (6, 10), (6, 11), (7, 9), (7, 11),
+            (8, 10), (8, 11), (9, 12), (9, 13), (10, 13), (10, 14), (11, 12), (11, 14), (12, 15), (13, 15),
+            (14, 15), (5, 9), (5, 10), (6, 12), (7, 14), (8, 13),
+        ],
     ),
 }
 
@@ -248,9 +257,8 @@ def tables(spark):
 
 def network(spark, example):
     cities, roads = NETWORKS[example]
-    ends = [tuple(road.split("-")) for road in roads.split()]
     return (
         literal_rows(spark, NETWORK["Cities"], cities, "name rubies emeralds sapphires"),
-        literal_rows(spark, NETWORK["Roads"], ends, "from_city_id to_city_id"),
+        literal_rows(spark, NETWORK["Roads"], roads, "from_city_id to_city_id"),
         len(cities),
     )
