@@ -104,3 +104,10 @@ def test_guests_do_not_share_a_task(spark, small_skew):
 def test_tiers_are_met_without_a_product(spark, name):
     plan = plan_of(getattr(bound, name)(Venue(spark, FOLDER)), run=False)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_audit_scans_each_table_once_and_shuffles_the_rows_once(spark):
+    plan = plan_of(bound.constraint_audit(Venue(spark, FOLDER)), run=False)
+    assert plan.count("FileScan") == len(bound._audited())
+    # by key, by space; what else moves is a row for each rule
+    assert plan.count("Exchange hashpartitioning") <= 4 and plan.count("BroadcastExchange") <= 1

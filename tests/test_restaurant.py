@@ -446,6 +446,34 @@ def test_audit_reads_references_of_a_table_together(spark):
     assert sorted(got(found)) == [("C", "foreign", "a", 1), ("C", "foreign", "b", 2)]
 
 
+def test_audit_finds_a_second_delivery_of_an_order(spark, t):
+    declared = [RESTAURANT["Deliveries"], RESTAURANT["DineIns"]]
+    rule = "rule = 'one_to_one'"
+    clean = audit.constraint_audit(t, declared).filter(rule)
+    assert sorted(got(clean)) == [("Deliveries", "one_to_one", "order_id", 0), ("DineIns", "one_to_one", "order_id", 0)]
+    again = t["Deliveries"].limit(1).withColumn("id", F.lit(991))
+    broken = {**t, "Deliveries": t["Deliveries"].unionByName(again).unionByName(again.withColumn("id", F.lit(992)))}
+    faults = audit.constraint_audit(broken, declared).filter("violations > 0")
+    assert got(faults) == [("Deliveries", "one_to_one", "order_id", 2)]
+
+
+def test_audit_of_empty_tables_nulls_and_parents_that_are_not_audited(spark):
+    parents = spark.createDataFrame([(1, "x"), (2, "x"), (2, None)], "id int, name string")
+    children = spark.createDataFrame(
+        [(1, 1, 0.0), (2, 3, -0.0), (2, None, None), (None, 3, float("nan"))], "id bigint, parent bigint, weight double"
+    )
+    child = Table("C", "id bigint!; parent bigint; weight double", (("weight",),), {"parent": Reference("P")})
+    found = audit.constraint_audit({"P": parents, "C": children}, [child])
+    assert sorted(got(found)) == [
+        ("C", "foreign", "parent", 2),
+        ("C", "not_null", "id", 1),
+        ("C", "unique", "id", 1),
+        ("C", "unique", "weight", 1),
+    ]
+    empty = audit.constraint_audit({"P": parents, "C": children.limit(0)}, [child])
+    assert [n for *_, n in got(empty)] == [0, 0, 0, 0]
+
+
 def test_advance_status_can_give_only_the_changed_rows(spark, t):
     picked = t["Orders"].filter("id = 2").select("id")
     new = {"status_id": F.lit(3)}

@@ -29,6 +29,7 @@ class Table:
     foreign: dict[str, Reference] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
     primary: tuple[str, ...] = ("id",)
+    one_to_one: tuple[str, ...] = ()  # references that at most one row may hold, though no key says so
 
     @property
     def fields(self) -> list[tuple[str, str, bool]]:
@@ -49,13 +50,14 @@ class Table:
         return [self.primary, *self.unique]
 
 
-def _table(name, columns, unique="", foreign=None, defaults=None) -> Table:
+def _table(name, columns, unique="", foreign=None, defaults=None, one_to_one=()) -> Table:
     return Table(
         name,
         "id int!; " + columns,
         tuple(tuple(key.split("+")) for key in unique.split()),
         {column: Reference(parent) for column, parent in (foreign or {}).items()},
         defaults or {},
+        one_to_one=one_to_one,
     )
 
 
@@ -177,6 +179,7 @@ RESTAURANT: dict[str, Table] = {
                 "courier_id": "Couriers",
                 "delivery_status_id": "DeliveryStatuses",
             },
+            one_to_one=("order_id",),
         ),
         _table(
             "DineIns",
@@ -187,6 +190,7 @@ RESTAURANT: dict[str, Table] = {
                 "employee_id": "Employees",
                 "status_id": "DineInStatuses",
             },
+            one_to_one=("order_id",),
         ),
         _table(
             "OrderItems",
