@@ -295,6 +295,10 @@ def _audit() -> str:
         for t, keys in unique.items()
         for key in keys
     ]
+    checks += [
+        f"SELECT '{t}', 'one_to_one', '{c}', COUNT({c}) - COUNT(DISTINCT {c}) FROM {t}"
+        for t, c in (("orders", "o_custkey"), ("labels", "doc_id"))
+    ]
     checks += [
         f"SELECT '{t}', 'not_null', '{c}', COUNT(*) FILTER ({c} IS NULL) FROM {t}"
         for t, columns in mandatory.items()
@@ -698,6 +702,14 @@ def oracle_sql() -> dict[str, str]:
         "route_steps": _with(
             "steps", "SELECT route AS path, CAST(step AS INTEGER) AS step, city_id, city FROM steps"
         ),
+        "text_route_steps": _with(
+            "steps",
+            """
+            SELECT string_agg(city, ' -> ' ORDER BY step)
+                       OVER (PARTITION BY route ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS text,
+                   route AS path, CAST(step AS INTEGER) AS step, city_id, city
+            FROM steps""",
+        ),
         "route_step_values": _with(
             "steps",
             """

@@ -287,6 +287,12 @@ def route_steps(v: Venue) -> DataFrame:
     return routes.route_steps(enumerate_routes(v), v.cities)
 
 
+def text_route_steps(v: Venue) -> DataFrame:
+    """The texts of all routes, read back."""
+    texts = routes.route_texts(enumerate_routes(v), v.cities)
+    return routes.text_route_steps(texts, v.cities, v.roads)
+
+
 def route_step_values(v: Venue) -> DataFrame:
     return routes.route_step_values(enumerate_routes(v), v.cities)
 
@@ -351,7 +357,7 @@ def _audited() -> list[Table]:
         Table(
             "orders", "o_orderkey bigint!; o_custkey bigint!; o_orderdate timestamp_ntz!",
             (("o_custkey", "o_orderdate"),), {"o_custkey": ref("customer", "c_custkey")},
-            primary=("o_orderkey",),
+            primary=("o_orderkey",), one_to_one=("o_custkey",),
         ),
         Table(
             "lineitem", "l_orderkey bigint!; l_linenumber int!; l_shipdate timestamp_ntz!", (),
@@ -372,7 +378,7 @@ def _audited() -> list[Table]:
         Table("benchmark", "item_id bigint!; text string!", primary=("item_id",)),
         Table(
             "labels", "doc_id bigint!; quality int!; toxic int!", (), {"doc_id": ref("documents", "doc_id")},
-            primary=("doc_id",),
+            primary=("doc_id",), one_to_one=("doc_id",),
         ),
         Table("conversations", "conv_id bigint!; turn bigint!; role string!", primary=("conv_id", "turn")),
     ]
@@ -424,6 +430,7 @@ _ALL = {
     "reservation_confirmations": reservation_confirmations,
     "enumerate_routes": enumerate_routes,
     "route_steps": route_steps,
+    "text_route_steps": text_route_steps,
     "route_step_values": route_step_values,
     "best_routes": best_routes,
     "typed_scan": typed_orders,

@@ -324,6 +324,42 @@ def test_routes_in_a_network_with_circles_and_dead_ends(spark, monkeypatch, seed
     assert steps.count() == sum(map(len, paths))
 
 
+@pytest.mark.parametrize("hops", [1, 4])
+def test_texts_of_routes_are_read_along_the_roads(spark, monkeypatch, hops):
+    monkeypatch.setattr(routes, "HOPS", hops)
+    # equal names, names within names, a name that holds the arrow, and one that starts like it
+    names = ["A", "B", "B", "A -> B", "AB", "C", "B -> C", None]
+    roads = [(0, 1), (0, 4), (1, 5), (2, 5), (3, 5), (4, 2), (0, 6), (1, 0), (5, 7), (4, 1)]
+    city_df = spark.createDataFrame([(i, n, 1, 1, 1) for i, n in enumerate(names)],
+                                    "id int, name string, rubies int, emeralds int, sapphires int")
+    road_df = spark.createDataFrame(roads, "from_city_id int, to_city_id int")
+    texts = ["A -> B -> C", "A -> AB -> B -> C", "B -> A -> B", "A", "AB -> C", "", " -> ", None, "A", "C -> nowhere"]
+    walks = [[i] for i in range(len(names))]
+    for walk in walks:
+        walks += [walk + [b] for a, b in roads if a == walk[-1] and b not in walk]
+    readable = [w for w in walks if all(names[c] is not None for c in w)]
+    want = {(text, tuple(w)) for text in texts for w in readable if text == " -> ".join(names[c] for c in w)}
+    assert {(t, w) for t, w in want if t == "A -> B -> C"} == {
+        ("A -> B -> C", w) for w in [(0, 1, 5), (3, 5), (0, 6)]
+    }
+    found = routes.text_route_steps(spark.createDataFrame([(t,) for t in texts], "text string"), city_df, road_df)
+    rows = sorted((r.text, tuple(r.path), r.step, r.city_id, r.city) for r in found.collect())
+    assert rows == sorted((t, w, i, c, names[c]) for t, w in want for i, c in enumerate(w))
+
+
+def test_every_route_is_among_the_readings_of_its_text(spark):
+    rng = random.Random(5)
+    cities = [(i, "XY"[i % 2] * (1 + i // 4), 1, 1, 1) for i in range(9)]
+    roads = sorted({(rng.randrange(9), rng.randrange(9)) for _ in range(24)})
+    city_df = spark.createDataFrame(cities, "id int, name string, rubies int, emeralds int, sapphires int")
+    road_df = spark.createDataFrame(roads, "from_city_id int, to_city_id int")
+    found = routes.enumerate_routes(city_df, road_df, 0, 8)
+    texts = routes.route_texts(found, city_df).collect()
+    read = routes.text_route_steps(spark.createDataFrame([(r.text,) for r in texts], "text string"), city_df, road_df)
+    pairs = {(r.text, tuple(r.path)) for r in read.select("text", "path").distinct().collect()}
+    assert texts and {(r.text, tuple(r.path)) for r in texts} <= pairs
+
+
 def test_bounds_cut_at_least_half_of_the_open_routes(spark):
     v = Venue(spark, "/root/testdata/sf0.01")
     seen = {"all": [], "best": []}
