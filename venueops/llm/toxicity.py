@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venueops.llm import kernel as K
-from venueops.llm.common import KEY, row_key, without
+from venueops.llm.common import KEY, row_key
 
 TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_BYTES = 2000, 5000, 16_000  # most texts per class, and bytes of a text
 THRESHOLDS = (3, 4, 5, 6)
@@ -252,6 +252,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     return train(texts[1], texts[0], prior)
 
 
+def _scores(tool: Model, tools: list, memo: dict, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(from, to, scores) of runs of the texts."""
+    for lo, hi, offsets, data in K.slices(texts):
+        found = np.zeros((hi - lo, 1)) if tool.weights is None else tool.features(data, offsets, tools, memo)
+        yield lo, hi, tool.scores(found)
+
+
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 from ``threshold`` on), and the row key.
 
@@ -266,11 +273,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
         tools = tool.compressors() if tool.weights is not None else []
         memo: dict[int, list[int]] = {}
         for batch in batches:
-            for lo, hi, offsets, data in K.slices(batch.column(3)):
-                if tool.weights is None:
-                    scores = tool.scores(np.zeros((hi - lo, 1)))
-                else:
-                    scores = tool.scores(tool.features(data, offsets, tools, memo))
+            for lo, hi, scores in _scores(tool, tools, memo, batch.column(3)):
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
@@ -283,5 +286,20 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the documents predicted toxic."""
-    return without(docs, scored(docs, labels, threshold).filter("predicted = 1"), "doc_id", "text")
+    """``docs`` without the documents predicted toxic.
+
+    Rows are dropped where they are scored, so no text is shuffled. Null and empty texts are judged as in
+    :func:`scored`, equal texts stay or go together, an empty table stays empty, other columns go through untouched.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    place = docs.columns.index("text")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = model.value
+        tools = tool.compressors() if tool.weights is not None else []
+        memo: dict[int, list[int]] = {}
+        for batch in batches:
+            for lo, hi, scores in _scores(tool, tools, memo, batch.column(place)):
+                yield batch.slice(lo, hi - lo).filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(each, docs.schema)
