@@ -352,7 +352,7 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     names = checkpointed(signatures.filter("sid is not null").select("occ", "sid"))
     removed(spark, path)
 
-    occurrences = members.filter("occ <> pivot").select("occ", "pivot").distinct()
+    occurrences = checkpointed(members.filter("occ <> pivot").select("occ", "pivot").distinct())
     left, right = names.select("occ", F.col("sid").alias("x")), names.select(F.col("occ").alias("pivot"), F.col("sid").alias("y"))
     met_pairs = checkpointed(
         occurrences.join(left, "occ")
@@ -377,8 +377,9 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
     numbers = placed.groupBy("label").agg(F.min("occ").alias("component"))
     numbered = checkpointed(placed.join(numbers, "label").select("occ", "component"))
     of_pivot = numbered.select(F.col("occ").alias("pivot"), F.col("component").alias("pivot_component"))
-    apart = members.join(numbered, "occ").join(of_pivot, "pivot").filter("component <> pivot_component")
-    apart = checkpointed(apart.select("sig").distinct())
+    strangers = occurrences.join(numbered, "occ").join(of_pivot, "pivot").filter("component <> pivot_component")
+    strangers = checkpointed(strangers.select("occ", "pivot"))
+    apart = checkpointed(members.join(strangers, ["occ", "pivot"], "left_semi").select("sig").distinct())
     inside = checkpointed(members.join(apart, "sig", "left_semi"))
     everyone = inside.select("sig", "occ").unionByName(inside.select("sig", F.col("pivot").alias("occ"))).distinct()
     placed, path = written(everyone.join(placed, "occ").select("sig", "sid", "label").distinct())
