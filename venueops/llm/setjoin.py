@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from venueops.llm import kernel as K
 from venueops.llm.common import KEY, checkpointed, components, removed, row_key, written
 
-TILE = 256  # sets of a block; groups of a quarter of it are compared pair by pair
+TILE = 512  # sets of a block; groups of an eighth of it are compared pair by pair
 CHANCE = 2e-4  # how likely two sets share a segment of one shingle, for the cost model
 
 
@@ -389,7 +389,7 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
         .filter("x <> y")
     )
     mixed = checkpointed(mixed.select("sig", "sids", "first"))
-    few = placed.join(mixed.filter(f"sids <= {TILE // 4}").select("sig"), "sig", "left_semi")
+    few = placed.join(mixed.filter(f"sids <= {TILE // 8}").select("sig"), "sig", "left_semi")
     across = (
         few.alias("p")
         .join(few.alias("q"), F.expr("p.sig = q.sig and p.label < q.label"))
@@ -398,7 +398,7 @@ def linked(docs: DataFrame, n_words: int, num: int, den: int, ratio: float) -> t
         .join(met_pairs, ["a", "b"], "left_anti")
     )
     across = checkpointed(_plausible(across, rows, threshold))
-    many = placed.join(mixed.filter(f"sids > {TILE // 4}"), "sig").select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    many = placed.join(mixed.filter(f"sids > {TILE // 8}"), "sig").select(F.col("first").alias("a"), F.col("sid").alias("b"))
     more = checkpointed(
         _verified(across, texts, n_words, threshold).unionByName(
             _verified_in_tiles(checkpointed(many.distinct()), texts, n_words, threshold)
