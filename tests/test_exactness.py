@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bindings.views import Venue
 from venueops.functions.ordered import PIECE, numbered, pieces, running
+from venueops.functions import crowded
 from venueops.operators import bookings, keys, loyalty, reports, routes
 
 DAY = datetime(2026, 4, 20)
@@ -373,3 +374,44 @@ def test_a_route_that_is_already_there(spark):
     cities = spark.createDataFrame([(1, "a", 1, 2, 3)], "id int, name string, rubies int, emeralds int, sapphires int")
     roads = spark.createDataFrame([(1, 1)], "from_city_id int, to_city_id int")
     assert [tuple(r) for r in routes.best_routes(cities, roads, 1, 1).collect()] == [("a", 6, "a", "a", "a")]
+
+
+def test_crowded_keys_meet_as_in_a_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(crowded, "CROWD", 5)
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 9 + [2] * 6 + [3, 3, 4] + [None] * 8)], "k int, i int")
+    side = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (3, "d"), (None, "e"), (5, "f")], "k int, v string")
+    assert sorted(crowded.met(rows, side, ["k"]).collect()) == sorted(rows.join(side, ["k"]).collect())
+
+
+def test_routes_through_one_city_do_not_share_a_task(spark, monkeypatch):
+    """All routes leave 0 and pass 1 and 2; 3 is in a text twice, 4 has no name."""
+    monkeypatch.setattr(crowded, "CROWD", 20)
+    middle = range(10, 40)
+    cities = [(c, None if c == 4 else f"c{c}", c, 2, 3) for c in [0, 1, 2, 3, 3, 4, *middle]]
+    roads = [(0, c) for c in middle] + [(c, 1) for c in middle] + [(1, 3), (1, 4), (3, 2), (4, 2)]
+    city_df = spark.createDataFrame(cities, "id int, name string, rubies int, emeralds int, sapphires int")
+    road_df = spark.createDataFrame(roads, "from_city_id int, to_city_id int")
+    found = routes.enumerate_routes(city_df, road_df, 0, 2)
+    paths = {(0, c, 1, by, 2) for c in middle for by in (3, 4)}
+    assert sorted(tuple(r.path) for r in found.collect()) == sorted(paths)
+    texts = routes.route_texts(found, city_df)
+    want = {p: " -> ".join(f"c{c}" for c in p for _ in range(2 if c == 3 else 1) if c != 4) for p in paths}
+    assert sorted((tuple(r.path), r.text) for r in texts.collect()) == sorted(want.items())
+
+    single = city_df.dropDuplicates(["id"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = routes.route_steps(found, single)
+        rows = [(tuple(r.path), r.step, r.city_id, r.city) for r in steps.collect()]
+        names = {c[0]: c[1] for c in cities}
+        assert len(rows) == len(set(rows)) and set(rows) == {(p, i, c, names[c]) for p in paths for i, c in enumerate(p)}
+        # steps in 0, 1 and 2 stay where they are
+        assert "BroadcastHashJoin" in steps._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    read = routes.text_route_steps(texts.filter(~F.array_contains("path", 3)).select("text"), single, road_df)
+    assert read.count() == 0  # the road to 2 leads over a city that is not in the text
+    texts = routes.route_texts(found, single).filter(F.array_contains("path", 3))
+    read = routes.text_route_steps(texts.select("text"), single, road_df)
+    assert {tuple(r.path) for r in read.collect()} == {p for p in paths if 3 in p} and read.count() == 150
