@@ -111,3 +111,15 @@ def test_the_audit_scans_each_table_once_and_shuffles_the_rows_once(spark):
     assert plan.count("FileScan") == len(bound._audited())
     # by key, by space; what else moves is a row for each rule
     assert plan.count("Exchange hashpartitioning") <= 4 and plan.count("BroadcastExchange") <= 1
+
+
+def test_a_task_gets_a_small_piece_of_a_large_shuffle(spark):
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    tuned(spark)
+    spark.conf.set(key, "false")  # as with more rows than the cores could share in small pieces
+    try:
+        rows = spark.range(3_000_000).select("id", F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+        dealt = rows.repartition("id").select(F.spark_partition_id().alias("task"), "a", "b")
+        assert len(dealt.groupBy("task").agg(F.max("a"), F.max("b")).collect()) > 2
+    finally:
+        spark.conf.unset(key)
