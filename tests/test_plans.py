@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import bindings.queries as bound
+from bindings import day
 from bindings.views import Venue
 from venueops.operators import baskets, reports
+from venueops.plans import workflows
 from venueops.plans.session import tuned
 
 FOLDER = "/root/testdata/sf0.001"
@@ -123,3 +125,20 @@ def test_a_task_gets_a_small_piece_of_a_large_shuffle(spark):
         assert len(dealt.groupBy("task").agg(F.max("a"), F.max("b")).collect()) > 2
     finally:
         spark.conf.unset(key)
+
+
+def test_baskets_are_joined_once_and_materials_where_they_lie(spark, monkeypatch):
+    numbered = {}
+    keys = workflows.surrogate_keys
+
+    def watched(df, order, *more):
+        numbered[tuple(order)] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keys(df, order, *more)
+
+    monkeypatch.setattr(workflows, "surrogate_keys", watched)
+    placed = []
+    place = workflows.place_orders
+    monkeypatch.setattr(workflows, "place_orders", lambda *given: placed.append(place(*given)) or placed[0])
+    day.after_cooking(Venue(spark, FOLDER))
+    assert "l_partkey" not in plan_of(placed[0]["new Orders"], run=False)
+    assert "Join" not in numbered["operation_id", "ingredient_id", "unit_id"]

@@ -52,7 +52,11 @@ def place_orders(tables: Tables, requests: DataFrame, basket: DataFrame, at: Mom
     numbered = surrogate_keys(accepted, ["request_id"], tables["Orders"])
     ids = numbered.select("request_id", F.col("id").alias("order_id"))
     wanted = basket.join(ids, "request_id").select("order_id", "menu_item_id", "quantity")
-    lines = snapshot_prices(wanted, tables["MenuItems"])
+    new_lines = snapshot_prices(wanted, tables["MenuItems"]).withColumns(
+        {"created_at": moment(at), "cooked_at": F.lit(None).cast("timestamp_ntz")}
+    )
+    # written in order of the orders: their totals are summed where the lines are, and the baskets are joined once
+    lines = surrogate_keys(new_lines, ["order_id", "menu_item_id", "quantity"], tables["OrderItems"])
     prices = price_baskets(numbered, lines, tables["Customers"], tables["LoyaltyTiers"])
     orders = numbered.join(prices.drop("customer_id").withColumnRenamed("order_id", "id"), "id").select(
         "id",
@@ -72,13 +76,9 @@ def place_orders(tables: Tables, requests: DataFrame, basket: DataFrame, at: Mom
     delivery = numbered.filter("route = 'delivery'").select(
         F.col("id").alias("order_id"), "address", "courier_id"
     )
-    new_lines = lines.withColumn("created_at", moment(at)).withColumn(
-        "cooked_at", F.lit(None).cast("timestamp_ntz")
-    )
-    line_order = ["order_id", "menu_item_id", "quantity"]
     return {
         "new Orders": orders,
-        "new OrderItems": surrogate_keys(new_lines, line_order, tables["OrderItems"]),
+        "new OrderItems": lines,
         "new DineIns": surrogate_keys(hall, ["order_id"], tables["DineIns"]).withColumn(
             "status_id", id_of(tables["DineInStatuses"], EXPECTED)
         ),
@@ -95,15 +95,17 @@ def cook_orders(
 ) -> Tables:
     """Waiting orders go to the kitchen: status, one stock operation per order, stock."""
     picked = checkpointed(pick_orders(tables["Orders"], tables["OrderStatuses"], WAITING, n, newest))
-    used = checkpointed(material_consumption(picked, tables["OrderItems"], tables["RecipeItems"]))
     operations = surrogate_keys(
         picked.select(F.col("id").alias("order_id"), "created_at"),
         ["created_at", "order_id"],
         tables["IngredientOperations"],
     )
-    operation_items = used.join(
-        operations.select("order_id", F.col("id").alias("operation_id")), "order_id"
-    ).select(
+    # the operation comes to the materials while they still lie by order; an order that is there twice has two
+    numbers = operations.groupBy("order_id").agg(F.collect_list("id").alias("operations"))
+    used = checkpointed(
+        material_consumption(picked, tables["OrderItems"], tables["RecipeItems"]).join(numbers, "order_id", "left")
+    )
+    operation_items = used.withColumn("operation_id", F.explode("operations")).select(
         "operation_id",
         "ingredient_id",
         id_of(tables["IngredientOperationTypes"], USE).alias("operation_type_id"),
