@@ -252,3 +252,44 @@ def test_stages_of_nothing(spark, corpus, tmp_path):
     docs.limit(0).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def _unrelated(rng, n, size):
+    values = rng.integers(0, 1 << 63, size=(n, size), dtype=np.int64).astype(np.uint64)
+    return np.sort(values, axis=1).ravel(), np.repeat(np.arange(n), size), np.full(n, size)
+
+
+def test_unrelated_sets_do_not_meet():
+    # sets met in segments that are empty in all of them, by thousands
+    rng = np.random.default_rng(5)
+    threshold = setjoin.Threshold(80, 100, 2.0)
+    for size in (40, 140, 210, 250, 410, 500):
+        n = 3000
+        plan = lambda scheme: setjoin.allocation(threshold, scheme, n)
+        signatures, _ = setjoin.signatures_of(threshold, plan, *_unrelated(rng, n, size))
+        assert np.unique(signatures, return_counts=True)[1].max() <= n // 100
+
+
+def test_similar_sets_meet():
+    # pairs at the threshold itself, of few and many shingles in a segment, so that credits run out in some
+    rng = np.random.default_rng(6)
+    for num, segments in ((80, None), (90, None), (80, "deep"), (80, "spare")):
+        threshold = setjoin.Threshold(num, 100, 2.0)
+
+        def plan(scheme):
+            exact, deep = setjoin.allocation(threshold, scheme, 3000)
+            need = int(threshold.differences(int(threshold.edges[scheme + 1]) - 1)) + 1
+            if segments == "deep" and need > 4:
+                return need - 2, 2
+            return (3 * exact, deep) if segments == "spare" else (exact, deep)
+
+        for size in rng.integers(1, 300, size=150):
+            both = rng.integers(0, 1 << 62, size=size).astype(np.uint64)
+            own = int(size * (100 - num) / num)  # shingles in one set only: size / (size + own) is num / 100 at least
+            cut = rng.integers(0, own + 1)
+            extra = rng.integers(0, 1 << 62, size=own).astype(np.uint64)
+            left, right = np.r_[both, extra[:cut]], np.r_[both, extra[cut:]]
+            values, rows = np.r_[left, right], np.repeat([0, 1], [len(left), len(right)])
+            sizes = np.array([len(left), len(right)])
+            signatures, owners = setjoin.signatures_of(threshold, plan, values, rows, sizes)
+            assert np.intersect1d(signatures[owners == 0], signatures[owners == 1]).size

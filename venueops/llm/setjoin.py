@@ -8,10 +8,12 @@ one-deletion neighbourhood), at least one must meet.
 * Sizes fall into bands; a band fixes M and which segments get deletion neighbourhoods. A set is indexed under its
   own band, and under the next one if it can reach a set there.
 * A set needs credits for its own D only, so it gives its first segments up to that (segment subsets). Segments of
-  no or one shingle, which many sets share by chance, carry no credit, in both sets alike if they meet; a set that
-  runs out of credits gives all its segments.
+  no or one shingle, which many sets share by chance, carry no credit, in both sets alike if they meet. A set that
+  runs out of credits gives all segments that carry one, and then its segments of one shingle too, up to
+  its need; only a set that runs out of those as well gives all its segments.
 * Allocation is by cost: per band the number of segments with deletion neighbourhoods is the one with the least
-  rows plus expected chance meetings, from the number and sizes of the band's sets.
+  rows plus expected chance meetings, from the number and sizes of the band's sets. Sets with no or one shingle in
+  such a segment all meet there.
 
 Texts of equal words are one class from the start (``sid``, 128 bits of a cryptographic digest). Hashes of shingles only
 propose pairs; links are decided on the words themselves. Inside a batch of rows only the first class
@@ -78,7 +80,8 @@ def allocation(threshold: Threshold, band: int, sets: int) -> tuple[int, int]:
         load = size / segments
         rows = deep * (1 + load) + exact
         thin = math.exp(-load) * load  # one shingle in the segment
-        cost = rows + sets * CHANCE * thin * (exact + 2 * deep)
+        bare = math.exp(-load) * (1 + load)  # at most one, so that the neighbourhood holds the empty segment
+        cost = rows + sets * CHANCE * thin * (exact + 2 * deep) + sets * bare * bare * deep
         if best is None or cost < best[0]:
             best = (cost, segments, deep)
     return best[1], best[2]
@@ -189,11 +192,15 @@ def signatures_of(threshold, plan, values, rows, sizes):
         filled = np.bincount(at, minlength=base[-1])
         owner = np.repeat(np.arange(len(docs)), segments)
         index = np.arange(base[-1]) - base[owner]
-        credit = np.where(index < deep[owner], 2, (filled > 1).astype(np.int64))
-        run = np.cumsum(credit)
-        before = run - credit - np.r_[0, run][base[owner]]
-        total = run[base[1:] - 1] - np.r_[0, run][base[:-1]]
-        given = ((before < need[owner]) & (credit > 0)) | (total < need)[owner]
+        far, kinds = index < deep[owner], []
+        for least in (2, 1):
+            credit = np.where(far, 2, (filled >= least).astype(np.int64))
+            run = np.cumsum(credit)
+            before = run - credit - np.r_[0, run][base[owner]]
+            total = run[base[1:] - 1] - np.r_[0, run][base[:-1]]
+            kinds.append((credit > 0, before < need[owner], (total < need)[owner]))
+        (full, first, poor), (some, early, out_of_all) = kinds
+        given = np.where(poor, full | (some & early) | out_of_all, full & first)
         salt = K.mixed(schemes[owner].astype(K.U) * K.U(0x9FB21C651E98DF25) + index.astype(K.U))
         out = np.flatnonzero(given)
         signatures.append(K.mixed(sums[out] + salt[out]))
