@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -293,3 +295,28 @@ def test_similar_sets_meet():
             sizes = np.array([len(left), len(right)])
             signatures, owners = setjoin.signatures_of(threshold, plan, values, rows, sizes)
             assert np.intersect1d(signatures[owners == 0], signatures[owners == 1]).size
+
+
+def test_samples_are_fitted_by_a_task(spark, monkeypatch):
+    # the driver held all samples, and its memory stayed with it for the stages that follow
+    rng = random.Random(9)
+    letters = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    texts = [" ".join(rng.choices(letters, k=30)) + (" vilest scum" if i % 4 == 0 else "") for i in range(200)]
+    docs = spark.createDataFrame(rows_of(texts), DOCS)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    learnt = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    learnt.sort(key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), texts[i]))
+    sides = [[texts[i] for i in learnt if (i % 4 == 0) == toxic] for toxic in (True, False)]
+    want = toxicity.train(*sides, len(sides[0]) / len(learnt))
+
+    def refuse(*_):
+        raise AssertionError("fitted in the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "toArrow", refuse)
+        got = toxicity.fitted(docs, labels)
+    assert (got.prior, got.ordinary, got.toxic) == (want.prior, want.ordinary, want.toxic)
+    for name in ("center", "scale", "weights"):
+        assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-9, atol=1e-12)
+    none = toxicity.fitted(docs.limit(0), labels)
+    assert none.weights is None and none.prior == want.prior

@@ -33,6 +33,7 @@ PHRASES = (2, 3)
 SURPRISE = 12  # nats: exp(12) is about the number of words and phrases that are looked at
 LEVEL = 3
 PIECE = 256  # bytes of an ordinary sample that the dictionary is trained on; chosen on a split of the rows not held out
+MODEL = "ordinary binary, toxic array<binary>, center binary, scale binary, weights binary"
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 
@@ -48,6 +49,20 @@ class Model:
         self.prior, self.ordinary, self.toxic = prior, ordinary, toxic
         self.center = self.scale = self.weights = None
 
+    def row(self) -> pa.RecordBatch:
+        """One row of the columns ``MODEL``; without a fit, all but the dictionaries are null."""
+        numbers = [None if x is None else x.tobytes() for x in (self.center, self.scale, self.weights)]
+        columns = [pa.array([self.ordinary], pa.binary()), pa.array([list(self.toxic)], pa.list_(pa.binary()))]
+        columns += [pa.array([x], pa.binary()) for x in numbers]
+        return pa.RecordBatch.from_arrays(columns, ["ordinary", "toxic", "center", "scale", "weights"])
+
+    @classmethod
+    def of(cls, prior: float, row) -> Model:
+        model = cls(prior, bytes(row["ordinary"]), tuple(bytes(x) for x in row["toxic"]))
+        if row["weights"] is not None:
+            model.center, model.scale, model.weights = (np.frombuffer(row[x]) for x in ("center", "scale", "weights"))
+        return model
+
     def compressors(self):
         """The ordinary one and one for each toxic dictionary."""
 
@@ -237,7 +252,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
     counts = {r["toxic"]: r["rows"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("rows")).collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    texts = {}
+    samples = None
     for label, most in ((1, TOXIC_SAMPLE), (0, ORDINARY_SAMPLE)):
         some = known.filter(F.col("toxic") == label).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(most)
         rows = (
@@ -247,9 +262,21 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
             .dropDuplicates(["text"])
             .orderBy("at", "text")
             .limit(most)
+            .select(F.lit(label).alias("label"), "at", "text")
         )
-        texts[label] = rows.select("text").toArrow().column(0).to_pylist()
-    return train(texts[1], texts[0], prior)
+        samples = rows if samples is None else samples.unionByName(rows)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, list[str]] = {1: [], 0: []}
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                texts[label].append(text)
+        yield train(texts[1], texts[0], prior).row()
+
+    # bounded samples, fitted by a task, so that the driver gets dictionaries and weights only
+    sorted_samples = samples.coalesce(1).sortWithinPartitions("label", "at", "text")
+    found = sorted_samples.mapInArrow(fit, MODEL).collect()
+    return Model.of(prior, found[0]) if found else Model(prior)
 
 
 def _scores(tool: Model, tools: list, memo: dict, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
