@@ -7,11 +7,15 @@ import json
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -330,6 +334,45 @@ def test_alignment_of_nothing(spark):
     assert alignment.aligned(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_alignment_in_parts_equals_loops(odd, monkeypatch):
+    for name, value in {"CHUNK": 400, "PART": 60}.items():
+        monkeypatch.setattr(alignment, name, value, raising=False)
+    got = sorted((tuple(r) for r in alignment.aligned(odd).select(*ALIGNED).collect()), key=repr)
+    assert got == aligned_by_loops([(r["doc_id"], r["text"]) for r in odd.collect()])
+
+
+def test_alignment_chunks_are_read_and_written_a_few_at_a_time(odd, monkeypatch):
+    paths, written = [], alignment.written
+
+    def watched(*args):
+        frame, path = written(*args)
+        paths.append(path.removeprefix("file:"))
+        return frame, path
+
+    monkeypatch.setattr(alignment, "written", watched)
+    monkeypatch.setattr(alignment, "CHUNK", 20)
+    alignment.aligned(odd.coalesce(1)).count()
+    groups = [m.row_group(k).num_rows for f in Path(paths[0]).glob("*.parquet") for m in [pq.read_metadata(f)] for k in range(m.num_row_groups)]
+    assert sum(groups) > 8 and max(groups) <= 8
+
+
+def test_alignment_of_a_chunk_takes_little_memory():
+    pieces = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    tool = alignment.Tokenizers(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text("utf-8"), pieces)
+    some = pq.read_table(f"{FOLDER}/documents.parquet", columns=["text"])["text"].drop_null().to_pylist()
+    texts = []
+    while sum(len(x) for x in texts) < 2_000_000:
+        texts += some
+    one = pa.array(texts, pa.large_string()), pa.array(range(len(texts)), pa.int64())
+    tracemalloc.start()
+    try:
+        alignment._chunk(tool, one[1], one[0])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6
+
+
 def test_products_equal_dense_ones():
     rng = np.random.default_rng(2)
     for n in (0, 1, 30):

@@ -30,13 +30,13 @@ from venueops.llm.common import written
 from venueops.llm.tokens import byte_letters
 
 CHUNK = 2 << 20  # bytes of text in a chunk, or one text
+PART = 256 << 10  # bytes of text that are worked on at a time, or one text
 PRODUCT = 1 << 22  # most entries that a product expands at a time
 
-CHUNKS = (
-    "chunk string, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "n_overlaps array<long>, groups_sha256 array<string>, pair array<long>, holders array<int>, "
-    "ends array<int>, at array<int>, times array<int>"
-)
+# of a chunk, only its distinct pairs are lists; the rest is packed, as nothing but Python looks into it
+CHUNKS = "chunk binary, docs binary, links binary, pair array<long>, holders array<int>"
+# rows of chunks that a writer or reader holds at a time
+CHUNK_ROWS = {"parquet.block.row.count.limit": "8"}
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_overlaps long, n_best long, count_sum long, "
     "groups_sha256 string"
@@ -161,8 +161,8 @@ class Tokenizers:
         return a, b
 
 
-def _chunk(tool: Tokenizers, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-    """One row of ``CHUNKS`` for some whole documents."""
+def _linked(tool: Tokenizers, texts: list[str]) -> tuple[dict[str, np.ndarray | pa.Array], np.ndarray, np.ndarray]:
+    """Of some whole documents: their columns, with the ``ends`` of their links; the links' id pairs; their multiplicities."""
     n = len(texts)
     found = [tool.encoded(x) for x in texts]
     n_a, n_b = (np.array([len(x[side]) for x in found], dtype=np.int64) for side in (0, 1))
@@ -204,28 +204,52 @@ def _chunk(tool: Tokenizers, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
     rows, b_ids, times = (np.concatenate([x[k] for x in parts]) if parts else np.empty(0, np.int64) for k in range(3))
     del parts
     pairs = ((distinct[rows] & 0xFFFFFFFF) << 32) | b_ids if len(rows) else np.empty(0, np.int64)
-    pair, at, holders = np.unique(pairs, return_inverse=True, return_counts=True)
     ends = np.searchsorted(distinct[rows] >> 32 if len(rows) else rows, np.arange(n), "right")
-
-    lists = {
-        "doc_id": ids,
+    columns = {
         "n_a": n_a,
         "n_b": n_b,
         "n_groups": n_groups.astype(np.int64),
         "n_links": n_links,
         "n_overlaps": n_overlaps.astype(np.int64),
         "groups_sha256": pa.array(digests, pa.string()),
-        "pair": pair,
-        "holders": holders.astype(np.int32),
-        "ends": ends.astype(np.int32),
-        "at": at.astype(np.int32),
-        "times": times.astype(np.int32),
+        "ends": ends.astype(np.int64),
     }
-    columns = [pa.array([uuid.uuid4().hex])]
-    for value in lists.values():
-        flat = value if isinstance(value, pa.Array) else pa.array(value)
-        columns.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
-    return pa.RecordBatch.from_arrays(columns, ["chunk", *lists])
+    return columns, pairs, times.astype(np.int64)
+
+
+def _chunk(tool: Tokenizers, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    """One row of ``CHUNKS`` for some whole documents."""
+    docs, pairs, times, links = [], [], [], 0
+    for lo, hi, _, _ in K.slices(texts, PART):
+        columns, some, multiplicities = _linked(tool, texts.slice(lo, hi - lo).to_pylist())
+        columns["ends"] += links
+        links += len(some)
+        docs.append(pa.RecordBatch.from_pydict({"doc_id": ids.slice(lo, hi - lo), **columns}))
+        pairs.append(some)
+        times.append(multiplicities)
+    pair, at, holders = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
+    lists = {"at": at.astype(np.int32), "times": np.concatenate(times)}
+    columns = [uuid.uuid4().bytes, _packed(pa.Table.from_batches(docs)), _packed(pa.table(lists))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x], pa.binary()) for x in columns] + [_list(pair), _list(holders.astype(np.int32))],
+        ["chunk", "docs", "links", "pair", "holders"],
+    )
+
+
+def _list(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: pa.Scalar) -> pa.Table:
+    with pa.ipc.open_stream(value.as_buffer()) as stream:
+        return stream.read_all()
 
 
 def shipped(spark: SparkSession, byte_level: str | None, pieces: str | None):
@@ -254,34 +278,33 @@ def aligned(docs: DataFrame, byte_level: str | None = None, pieces: str | None =
         for batch in batches:
             texts = K.strings(batch.column(1))
             for lo, hi, _, _ in K.slices(texts, CHUNK):
-                yield _chunk(tool, batch.column(0).slice(lo, hi - lo), texts.slice(lo, hi - lo).to_pylist())
+                yield _chunk(tool, batch.column(0).slice(lo, hi - lo), texts.slice(lo, hi - lo))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks, _ = written(rows.mapInArrow(each, CHUNKS))
+    chunks, _ = written(rows.mapInArrow(each, CHUNKS), CHUNK_ROWS)
     held = chunks.select("chunk", F.explode(F.arrays_zip("pair", "holders")).alias("x")).select("chunk", "x.*")
     counts, _ = written(held.groupBy("pair").agg(F.sum("holders").alias("count")))
     a_id = F.shiftright("pair", 32)
     top = counts.groupBy(a_id.alias("a")).agg(F.max("count").alias("top"))
-    known = counts.withColumn("a", a_id).join(top, "a").select("pair", "count", (F.col("count") == F.col("top")).alias("best"))
+    best = (F.col("count") == F.col("top")).cast("long")
+    known = counts.withColumn("a", a_id).join(top, "a").select("pair", (F.col("count") * 2 + best).alias("count_best"))
     back = held.select(F.col("chunk").alias("of"), "pair").join(known, "pair")
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        count_of = [right["pair"].to_numpy(), right["count"].to_numpy(), right["best"].to_numpy()]
-        order = np.argsort(count_of[0])
-        pair, count, best = (x[order] for x in count_of)
+        pair, count = right["pair"].to_numpy(), right["count_best"].to_numpy()
+        count = count[np.argsort(pair)]  # a chunk's pairs are numbered in order
         out = []
-        for row in left.to_batches():
-            lists = {name: column[0].values for name, column in zip(row.schema.names[1:], row.columns[1:], strict=True)}
-            place = np.searchsorted(pair, lists["pair"].to_numpy())
-            at, times = lists["at"].to_numpy(), lists["times"].to_numpy().astype(np.int64)
-            ends = lists["ends"].to_numpy()
+        for docs, links in zip(left["docs"], left["links"], strict=True):
+            docs, links = _unpacked(docs), _unpacked(links)
+            at, times, ends = links["at"].to_numpy(), links["times"].to_numpy(), docs["ends"].to_numpy()
             sums = []
-            for values in (best[place].astype(np.int64), count[place]):
+            for values in (count & 1, count >> 1):
                 total = np.r_[0, np.cumsum(times * values[at])]
                 sums.append(pa.array(total[ends] - total[np.r_[0, ends[:-1]]]))
             same = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_overlaps"]
-            columns = [lists[x] for x in same] + sums + [lists["groups_sha256"]]
-            out.append(pa.RecordBatch.from_arrays(columns, [*same, "n_best", "count_sum", "groups_sha256"]))
-        return pa.Table.from_batches(out)  # pairs come only with their chunk
+            columns = [docs[x] for x in same] + sums + [docs["groups_sha256"]]
+            out.append(pa.table(columns, [*same, "n_best", "count_sum", "groups_sha256"]))
+        return pa.concat_tables(out)  # pairs come only with their chunk
 
-    return chunks.groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(summed, RESULT)
+    rows = chunks.select("chunk", "docs", "links")
+    return rows.groupBy("chunk").cogroup(back.groupBy("of")).applyInArrow(summed, RESULT)
