@@ -348,6 +348,43 @@ def test_texts_of_routes_are_read_along_the_roads(spark, monkeypatch, hops):
     assert rows == sorted((t, w, i, c, names[c]) for t, w in want for i, c in enumerate(w))
 
 
+@pytest.mark.parametrize("heads", [10_000, 3])
+def test_texts_that_share_their_beginnings_are_read_from_there(spark, monkeypatch, heads):
+    """Equal names, a city that is there twice, dead ends, texts that are beginnings of others, overlapping arrows."""
+    monkeypatch.setattr(routes, "SHARED", 2, raising=False)
+    monkeypatch.setattr(routes, "HEADS", heads, raising=False)
+    names = ["A", "B", "B", "C", "C", "D", "E", "", "-> x"]
+    ids = [0, 1, 2, 3, 4, 5, 5, 6, 7, 8]
+    roads = [(0, 1), (0, 2), (1, 3), (2, 3), (2, 4), (3, 5), (4, 5), (5, 6), (6, 0), (5, 7), (0, 8), (3, 1), (4, 2)]
+    city_df = spark.createDataFrame([(i, names[i], 1, 1, 1) for i in ids], "id int, name string, rubies int, emeralds int, sapphires int")
+    road_df = spark.createDataFrame(roads, "from_city_id int, to_city_id int")
+    walks = [[i] for i in range(len(names))]
+    for walk in walks:
+        walks += [walk + [b] for a, b in roads if a == walk[-1] and b not in walk]
+    texts = sorted({" -> ".join(names[c] for c in w) for w in walks}) + ["A -> B -> E", "A -> B -> C -> nowhere", "Z -> A", "Z -> B", None]
+    want = Counter()
+    for text in texts:
+        for w in walks:
+            if text == " -> ".join(names[c] for c in w):
+                times = 2 ** w.count(5)  # for each time a city is there
+                want.update({(text, tuple(w), i, c, names[c]): times * (2 if c == 5 else 1) for i, c in enumerate(w)})
+    found = routes.text_route_steps(spark.createDataFrame([(t,) for t in texts], "text string"), city_df, road_df)
+    assert Counter((r.text, tuple(r.path), r.step, r.city_id, r.city) for r in found.collect()) == want
+
+
+def test_rounds_of_reading_are_those_after_the_shared_beginning(spark, monkeypatch):
+    monkeypatch.setattr(routes, "SHARED", 5, raising=False)
+    rounds, observed = [], routes.observed
+    monkeypatch.setattr(routes, "observed", lambda df, **x: rounds.append(set(df.columns)) or observed(df, **x))
+    city_df = spark.createDataFrame([(i, f"c{i}", 1, 1, 1) for i in range(30)], "id int, name string, rubies int, emeralds int, sapphires int")
+    chain = list(range(10))
+    road_df = spark.createDataFrame([(i, i + 1) for i in chain[:-1]] + [(9, c) for c in range(10, 30)], "from_city_id int, to_city_id int")
+    texts = [" -> ".join(f"c{c}" for c in [*chain, last]) for last in range(10, 30)]
+    found = routes.text_route_steps(spark.createDataFrame([(t,) for t in texts], "text string"), city_df, road_df)
+    assert {(r.text, tuple(r.path)) for r in found.collect()} == {(t, (*chain, 10 + i)) for i, t in enumerate(texts)}
+    assert sum({"text", "path"} <= x for x in rounds) == 2  # where the beginning ends, and the name after it
+
+
 def test_every_route_is_among_the_readings_of_its_text(spark):
     rng = random.Random(5)
     cities = [(i, "XY"[i % 2] * (1 + i // 4), 1, 1, 1) for i in range(9)]
